@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.llm import chat, classlm, langid, licences, secrets, sentences, topk, urls
 from tickloom.llm.common import table
 from tickloom.llm.simhash import simhash_components
 
@@ -14,5 +15,90 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=3)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash}
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.fold_predictions(table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+def op7_classlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.fold_scores(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.encode(table(spark, sf_dir, "documents"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+#: What both turns of conversation -1 say: control strings of the template.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONTROL).alias("text"))
+    return chat.conversation_digests(chat.expand_prefixes(turns.unionByName(more)))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op3_langid": op3_langid,
+    "op4_secrets": op4_secrets,
+    "op5_topk": op5_topk,
+    "op6_licences": op6_licences,
+    "op7_classlm": op7_classlm,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_urls": op9_urls,
+    "op10_chat": op10_chat,
+}
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op5_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.xs, x.xs), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+ORACLES["op10_chat"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) r(i)
+), s AS (
+    SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n,
+           sum(23 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<|nl|>'))
+               + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 1) OVER w AS upto
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (role = 'assistant' OR place = n)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
