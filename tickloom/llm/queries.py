@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, classlm, langid, licences, secrets, sentences, topk, urls
+from tickloom.llm import chat, classlm, decontaminate, langid, licences, secrets, sentences, topk, urls
 from tickloom.llm.common import table
 from tickloom.llm.simhash import simhash_components
 
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=3)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.fold_predictions(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_decontaminate": op2_decontaminate,
     "op3_langid": op3_langid,
     "op4_secrets": op4_secrets,
     "op5_topk": op5_topk,
@@ -66,6 +71,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
 }
 
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_topk"] = """

@@ -129,3 +129,138 @@ def simhash_components(docs: DataFrame, size: int = 3, id_column: str = "doc_id"
     ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(known.join(written(ids, "ids"), "root").select("fp", "n_copies", "component_id"), "named")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies")
+
+
+#: Near-duplicate documents: words in a shingle of the fingerprint and of the comparison, the least Jaccard similarity,
+#: and the tables of 32-bit fingerprints, of which radius-1 balls meet at distances up to two.
+PRINT_WORDS, COMPARED_WORDS, SIMILAR, TABLES = 3, 5, 0.8, 10
+#: Most differing bits, as a part, of what is compared at all; similar texts differ in about a tenth.
+FAR = 0.2
+#: Buckets by which documents that no pair needs are left out of a join; a broadcast of so many numbers at most.
+BUCKETS = 1 << 20
+
+
+def _mixed(hashes: np.ndarray, words: int) -> np.ndarray:
+    """`words` hashes of 64 bits from each one."""
+    x = hashes[:, None] + np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def text_key(text_column: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+
+
+def _long_prints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, text_key, same, print): a hash of each text's words, equal for exact copies, and TABLES x 32 bits."""
+    wide = TABLES // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same, prints = [], []
+            for text in raw(batch.column(2)):
+                words = text.lower().split()
+                same.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                hashes = shingle_hashes(words, PRINT_WORDS)
+                bits = majority(_mixed(hashes, wide)) if len(hashes) else np.zeros(64 * wide, bool)
+                prints.append(np.packbits(bits, bitorder="little").view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * wide, pa.int32()), pa.array(np.concatenate(prints)))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "print": lists})
+
+    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("text_key"), F.col(text_column).cast("string").alias("text"))
+    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, print array<long>")
+
+
+def _first(*columns: str) -> Column:
+    """The least of the rows, where a null id comes last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), *columns))
+
+
+def _met(classes: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b): each class and the least one in a bucket where both fell, for all tables."""
+    wide = F.element_at("print", (F.col("table") / 2).cast("int") + 1)
+    half = F.when(F.col("table") % 2 == 0, wide.bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned(wide, 32))
+    tables = classes.select("class", "print", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("table")).select("class", "table", half.alias("value"))
+    tag = F.shiftleft(F.col("table").cast("long"), 32)
+    ball = F.transform(_masks([0, *(1 << i for i in range(32))]), lambda m: F.col("value").bitwiseXOR(m).bitwiseOR(tag))
+    met = tables.select("class", F.explode(ball).alias("key"))
+    met = met.select("class", F.min("class").over(Window.partitionBy("key")).alias("least")).where("class != least")
+    return met.distinct().select(F.col("least").alias("a"), F.col("class").alias("b"))
+
+
+def _differing(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
+    """(class, shingles): the distinct shingle hashes that the comparison takes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(x.lower().split(), COMPARED_WORDS)).view(np.int64) for x in raw(batch.column(1))]
+            at = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+            yield pa.RecordBatch.from_pydict({"class": batch.column(0), "shingles": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(found)))})
+
+    return docs.select("class", F.col(text_column).cast("string").alias("text")).mapInArrow(run, "class long, shingles array<long>")
+
+
+def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets reach the least similarity."""
+    of = lambda c: shingles.select(F.col("class").alias(c), F.col("shingles").alias(f"of_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(shared >= SIMILAR * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+
+
+def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, text_key, group, stays): one row for each row of `docs`; rows of a group are copies or near copies.
+
+    Exact copies, by their words, are folded into a class first. Classes meet where 32-bit fingerprints of one of several
+    tables lie within two bits of each other; each is paired with the least it meets, not with all. Of these pairs the
+    closest of every class is compared by its five-word shingles first, and further pairs only where they would join two
+    groups. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text all are
+    marked alike. Texts without words are copies of each other.
+    """
+    prints = written(_long_prints(docs, id_column, text_column), "long-prints")
+    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first("print").alias("print"))
+    classes = written(classes.withColumn("class", F.monotonically_increasing_id()).select("class", "same", "first", "print"), "classes")
+    of = lambda c: classes.select(F.col("class").alias(c), F.col("print").alias(f"of_{c}"))
+    pairs = written(_met(classes), "pairs").join(of("a"), "a").join(of("b"), "b")
+    far = _differing("of_a", "of_b")
+    pairs = written(pairs.select("a", "b", far.alias("far")).where(F.col("far") <= int(TABLES * 32 * FAR)), "near-pairs")
+
+    ends = written(pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct(), "ends")
+    wanted = classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k"))
+    bucket = lambda c: F.pmod(c, F.lit(BUCKETS))
+    few = docs.select(F.col(id_column).cast("long").alias("_i"), text_key(text_column).alias("_t"), F.col(text_column).alias("text"))
+    few = few.withColumn("_b", bucket(F.col("_t"))).join(F.broadcast(wanted.select(bucket(F.col("_k")).alias("_b")).distinct()), "_b", "left_semi")
+    texts = few.join(wanted, (F.col("_t") == F.col("_k")) & F.col("_i").eqNullSafe(F.col("_d"))).select("class", "text")
+    shingles = written(_shingles(texts, "text").dropDuplicates(["class"]), "shingles")
+
+    closest = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+    links = written(_similar(closest, shingles), "links")
+    roots = components(links)
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    rest = pairs.select("a", "b").join(closest, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
+    rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    roots = components(links.unionByName(_similar(written(rest, "open-pairs"), shingles)))
+    grouped = written(classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "same", "first", F.coalesce("root", "class").alias("group")), "grouped")
+    firsts = written(grouped.groupBy("group").agg(F.min("first").alias("stays")), "firsts")
+    named = written(grouped.select("same", "group").join(firsts, "group"), "named")
+    out = prints.select("doc_id", "text_key", "same").join(named, "same")
+    stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_key") == F.col("stays.text_key"))
+    return out.select("doc_id", "text_key", "group", stays.alias("stays"))
+
+
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Rows of `docs`, one of each group of copies and near copies, with all their columns."""
+    groups = written(near_duplicate_groups(docs, id_column, text_column), "groups")
+    stay = groups.where("stays").groupBy(F.col("doc_id").alias("__stay_id"), F.col("text_key").alias("__stay_key")).agg(F.count("*").alias("__stay_n"))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__stay_id")) & (text_key(text_column) == F.col("__stay_key"))
+    kept = docs.join(stay, same)
+    if not stay.where("__stay_n > 1").isEmpty():  # of rows that repeat an id and its text, the first
+        order = Window.partitionBy("__stay_id", "__stay_key").orderBy(F.lit(0))
+        repeated = kept.where("__stay_n > 1").withColumn("__stay_n", F.row_number().over(order)).where("__stay_n = 1")
+        kept = kept.where("__stay_n = 1").unionByName(repeated)
+    return kept.drop("__stay_id", "__stay_key", "__stay_n")
