@@ -85,17 +85,19 @@ def clamp_high_low(df: DataFrame) -> DataFrame:
 
 def candle_is_anomalous() -> Column:
     """Any price at or below zero, high under low, or negative volume. Nulls do not count."""
-    tests = [F.col(p) <= 0 for p in ("close", "high", "low", "open")]
+    tests = [F.col(p) <= 0 for p in PRICES]
     tests += [F.col("high") < F.col("low"), F.col("volume") < 0]
     return reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in tests])
 
 
 def taker_side(is_buyer_maker: Column) -> Column:
-    return F.when(is_buyer_maker, F.lit("sell")).otherwise(F.lit("buy"))
+    """The side that took; null where the maker is not known, which counts as neither."""
+    return F.when(is_buyer_maker, F.lit("sell")).when(~is_buyer_maker, F.lit("buy"))
 
 
 def signed_qty(is_buyer_maker: Column, qty: Column) -> Column:
-    return F.when(is_buyer_maker, -qty).otherwise(qty)
+    """Bought is positive, sold is negative; null where the maker is not known."""
+    return F.when(is_buyer_maker, -qty).when(~is_buyer_maker, qty)
 
 
 def to_bool(value: Column) -> Column:
@@ -113,11 +115,13 @@ def to_id(value: Column) -> Column:
 def epoch_to_micros(value: Column) -> Column:
     """Microseconds from text or number in s, ms, µs or ISO form; the unit is told by size."""
     text = F.trim(value.cast("string"))
-    number = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    number = text.try_cast("double")
+    # NaN, infinities and what no 64-bit time can hold are not times.
+    number = F.when(F.abs(number) < F.lit(9e18), number)
     scaled = (
         F.when(number > 1e14, number)
         .when(number > 1e11, number * F.lit(1e3))
-        .otherwise(number * F.lit(1e6))
+        .when(number > -9e12, number * F.lit(1e6))
     )
     # Text without a zone is UTC whatever the session zone is.
     plain = F.timestamp_diff(
@@ -145,3 +149,8 @@ def feature_column(feature: str, available) -> str:
 
 def provenance(df: DataFrame, **literals: str) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in literals.items()})
+
+
+def numeric_text(df: DataFrame, names) -> DataFrame:
+    """Columns of numbers written as text become DOUBLE; text that is no number becomes null."""
+    return df.withColumns({name: F.trim(F.col(name).cast("string")).try_cast("double") for name in names})

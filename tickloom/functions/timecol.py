@@ -48,6 +48,11 @@ def day_number(micros: Column) -> Column:
     return whole_div(micros, DAY_US).cast("int")
 
 
+def utc_date(df: DataFrame, name: str) -> Column:
+    """The calendar day in UTC, whatever the session zone is."""
+    return F.date_from_unix_date(day_number(to_micros(df, name)))
+
+
 def seconds_between(start_us: Column, end_us: Column) -> Column:
     return (end_us - start_us) / F.lit(float(SECOND_US))
 

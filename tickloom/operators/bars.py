@@ -6,17 +6,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.columns import clamp_high_low, rounded
-from tickloom.functions.timecol import bar_start, from_micros, is_ntz, to_micros
+from tickloom.functions.timecol import bar_start, from_micros, is_ntz, to_micros, utc_date
+from tickloom.plans.dedup import keep_one, others
+from tickloom.plans.joins import join_on
 from tickloom.timeframe import Timeframe, parse
 
 BAR_FIGURES = ("open", "high", "low", "close", "volume", "quote_volume", "twap", "vwap")
 
 
-def _position(order: Sequence[str]) -> Column:
-    """One ordering column stays a primitive, which keeps hash aggregation; more make a struct."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+# Ids below this share one number with their time.
+ID_SPAN = 10**18
+
+
+def _position(df: DataFrame, order: Sequence[str]) -> Column:
+    """An ordering that stays a primitive where it can, which keeps hash aggregation.
+
+    A time and a whole-number id become one DECIMAL; an id that would not fit fails the query.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) == 2 and isinstance(df.schema[order[1]].dataType, (T.LongType, T.IntegerType)):
+        number = F.col(order[1])
+        fits = F.when((number >= 0) & (number < ID_SPAN), number)
+        fits = F.when(number.isNull(), F.lit(0)).otherwise(
+            F.coalesce(fits, F.raise_error(F.lit("trade ids must lie in [0, 10^18)")).cast("bigint"))
+        )
+        return (to_micros(df, order[0]).cast("decimal(19,0)") * F.lit(ID_SPAN).cast("decimal(19,0)")).cast(
+            "decimal(38,0)"
+        ) + fits.cast("decimal(19,0)")
+    return F.struct(*order)
 
 
 def first_value(value: Column, position: Column) -> Column:
@@ -38,11 +59,10 @@ def tick_bars(
 ) -> DataFrame:
     """Open, high, low, close and volume per bar; bars without trades do not appear.
 
-    ``order`` settles which trade opens and closes a bar. Pass only the time column where
-    times are unique within a series: the aggregate then needs no sort.
+    ``order`` settles which trade opens and closes a bar.
     """
     frame = parse(width)
-    position = _position(order)
+    position = _position(ticks, order)
     bars = ticks.groupBy(*keys, bar_start(to_micros(ticks, time), frame).alias("_bar")).agg(
         first_value(F.col(price), position).alias("open"),
         F.max(price).alias("high"),
@@ -83,11 +103,11 @@ def _anchored(df: DataFrame, keys: Sequence[str], frames: Sequence[Timeframe]) -
     The first times are one row per series and year; joining them back leaves the choice of
     a broadcast to their measured size.
     """
-    with_year = df.withColumn("_year", F.year("time"))
+    with_year = df.withColumn("_year", F.year(utc_date(df, "time")))
     if not any(not f.divides_day and not (f.unit == "w" and f.count == 1) for f in frames):
         return with_year.withColumn("_first", F.lit(None).cast("long"))
     firsts = with_year.groupBy(*keys, "_year").agg(F.min("_us").alias("_first"))
-    return with_year.join(firsts, [*keys, "_year"])
+    return join_on(with_year, firsts, [*keys, "_year"])
 
 
 def resample(
@@ -96,11 +116,14 @@ def resample(
     keys: Sequence[str] = ("symbol",),
     anchor: str = "year",
     digits: bool = True,
+    order: Sequence[str] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Coarser bars from candles holding one row per series and time.
+    """Coarser bars from candles.
 
-    All timeframes come out of one scan and one shuffle: each candle is counted towards its
-    bar of every timeframe and combined map-side. Bars are left-labelled and left-closed.
+    Of repeated times of a series the last by ``order`` counts (by all other columns without
+    it); pass ``distinct=True`` where times are unique, which spares a shuffle. Each candle is
+    counted towards its bar of every timeframe and combined map-side. Bars are left-labelled and left-closed.
     ``anchor='year'`` restarts odd widths (and splits weeks) at each calendar year, which
     ``anchor_year`` records; ``anchor='epoch'`` lets them run on. Bars without any open are
     dropped. The figures are rounded to two decimals unless ``digits`` is False.
@@ -109,6 +132,9 @@ def resample(
         raise ValueError("anchor must be 'year' or 'epoch'")
     frames = [parse(name) for name in timeframes]
     ntz = is_ntz(candles, "time")
+    if not distinct:
+        series = [*keys, "time"]
+        candles = keep_one(candles, series, order or others(candles, series), "last")
     timed = candles.withColumn("_us", to_micros(candles, "time"))
     if anchor == "year":
         timed = _anchored(timed, keys, frames)
@@ -124,8 +150,7 @@ def resample(
                 year.cast("int").alias("anchor_year"),
             )
         )
-    figures = ["open", "high", "low", "close", "volume", "quote_volume", "twap", "vwap"]
-    spread = timed.select(*keys, "_us", *figures, F.explode(F.array(*choices)).alias("_to"))
+    spread = timed.select(*keys, "_us", *BAR_FIGURES, F.explode(F.array(*choices)).alias("_to"))
     at = F.col("_us")
     bars = spread.groupBy(
         *keys,

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros
-from tickloom.plans.chunked import CHUNK, day_chunks, last_known, range_chunks, running_max
+from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros, utc_date
+from tickloom.plans.chunked import CHUNK, last_known, minute_chunks, running_max
+from tickloom.plans.joins import join_on
 from tickloom.timeframe import DAY_US, parse
 
 
@@ -17,20 +18,15 @@ def coalesce_intervals(
     keys: Sequence[str],
     start: str = "start_ts",
     end: str = "end_ts",
-    chunks: str = "range",
 ) -> DataFrame:
-    """Union of the ranges of each key; overlapping and touching ranges become one.
-
-    ``chunks='day'`` is for ranges known to be few per key and starting day (daily coverage);
-    otherwise the ranges are spread by sampled range partitions, whatever their distribution.
-    """
+    """Union of the ranges of each key; overlapping and touching ranges become one."""
     # Equal starts collapse map-side; only the longest of them can matter.
     distinct = (
         intervals.where(F.col(start) < F.col(end))
         .groupBy(*keys, F.col(start).alias("_s"))
         .agg(F.max(end).alias("_e"))
     )
-    cut = day_chunks(distinct, "_s") if chunks == "day" else range_chunks(distinct, keys, ["_s"])
+    cut = minute_chunks(distinct, "_s")
     reached = running_max(cut, keys, ["_s"], "_reached", F.col("_e"))
     opens = F.col("_reached").isNull() | (F.col("_s") > F.col("_reached"))
     islands = last_known(reached, keys, ["_s"], {"_island": F.when(opens, F.col("_s"))})
@@ -58,7 +54,7 @@ def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def coverage_gaps(
-    requests: DataFrame, coverage: DataFrame, keys: Sequence[str], chunks: str = "range"
+    requests: DataFrame, coverage: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
 
@@ -72,9 +68,9 @@ def coverage_gaps(
         *keys, F.col("_from").alias("_rs"), F.col("_upto").alias("_re"), CHUNK,
         F.col("_s").alias("_ps"), F.col("_e").alias("_pe"),
     )
-    merged = coalesce_intervals(coverage, keys, chunks=chunks)
+    merged = coalesce_intervals(coverage, keys)
     held = _by_day(merged, "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e")
-    hits = asked.join(held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
+    hits = join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
     # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
     closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")})
     piece = [*keys, "_rs", "_re", CHUNK]
@@ -92,7 +88,7 @@ def coverage_gaps(
             from_micros(F.col("_s"), ntz).alias("gap_end"),
         )
     )
-    whole = coalesce_intervals(gaps, [*keys, "_rs", "_re"], "gap_start", "gap_end", chunks="day")
+    whole = coalesce_intervals(gaps, [*keys, "_rs", "_re"], "gap_start", "gap_end")
     return whole.select(
         *keys,
         from_micros(F.col("_rs"), ntz).alias("request_start"),
@@ -104,7 +100,7 @@ def coverage_gaps(
 
 def clamp_to_listing(requests: DataFrame, listing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """No request starts before its series was listed; requests that end earlier vanish."""
-    joined = requests.join(listing.select(*keys, "listing_date"), list(keys), "left")
+    joined = join_on(requests, listing.select(*keys, "listing_date"), keys, "left")
     return (
         joined.withColumn("start_ts", F.greatest("start_ts", "listing_date"))
         .drop("listing_date")
@@ -117,10 +113,9 @@ def pending_ranges(
     coverage: DataFrame,
     listing: DataFrame,
     keys: Sequence[str],
-    chunks: str = "range",
 ) -> DataFrame:
     """What a backfill of the requests would still have to land."""
-    return coverage_gaps(clamp_to_listing(requests, listing, keys), coverage, keys, chunks)
+    return coverage_gaps(clamp_to_listing(requests, listing, keys), coverage, keys)
 
 
 def _day_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -170,18 +165,17 @@ def mixed_symbols(candles: DataFrame, folder: Sequence[str]) -> DataFrame:
 
 
 def advance_coverage(
-    coverage: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str],
-    chunks: str = "range",
+    coverage: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str]
 ) -> DataFrame:
     """Coverage after landing new candles. Only observed rows add to it."""
     added = rebuild_coverage(landed, timeframe, keys)
     both = coverage.select(*keys, "start_ts", "end_ts").unionByName(added)
-    return coalesce_intervals(both, keys, chunks=chunks)
+    return coalesce_intervals(both, keys)
 
 
 def missing_days(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Days without rows between the first and last day of each series."""
-    days = df.select(*keys, F.to_date("time").alias("_day")).distinct()
+    days = df.select(*keys, utc_date(df, "time").alias("_day")).distinct()
     before = F.lag("_day").over(Window.partitionBy(*keys).orderBy("_day"))
     holes = days.withColumn("_before", before).where(F.date_diff("_day", "_before") > 1)
     between = F.sequence(F.date_add("_before", 1), F.date_sub("_day", 1))
@@ -196,12 +190,12 @@ def claimed_but_missing(
         *keys, F.date_from_unix_date(F.col(CHUNK)).alias("date")
     )
     have = present_days.select(*keys, "date").distinct()
-    return claimed.distinct().join(have, [*keys, "date"], "left_anti")
+    return join_on(claimed.distinct(), have, [*keys, "date"], "left_anti")
 
 
 def pending_days(source_days: DataFrame, output_days: DataFrame, on: Sequence[str]) -> DataFrame:
     """Source days without output yet."""
-    return source_days.select(*on).distinct().join(output_days.select(*on).distinct(), list(on), "left_anti")
+    return join_on(source_days.select(*on).distinct(), output_days.select(*on).distinct(), on, "left_anti")
 
 
 def union_days(first: DataFrame, second: DataFrame, on: Sequence[str]) -> DataFrame:

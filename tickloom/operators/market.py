@@ -1,7 +1,7 @@
 """Consolidation across venues, and across spot and swap markets.
 
-The reference aligns series with full outer joins on time. A grouped aggregate over the union
-gives the same rows with one shuffle, combined map-side, for any number of venues.
+Series are aligned on time by a grouped aggregate over their union: the rows of full outer joins
+with one shuffle, combined map-side, for any number of venues.
 
 Pass DECIMAL prices and volumes to have the weighted sums exact, hence independent of the
 order in which tasks finish; DOUBLE columns are summed as they are.
@@ -14,9 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import PRICES, base_volume, clamp_high_low, ohlc4, rounded
-from tickloom.plans.dedup import keep_one
+from tickloom.functions.columns import PRICES, base_volume, clamp_high_low, ohlc4, provenance, rounded
+from tickloom.functions.timecol import bar_start, from_micros, is_ntz, to_micros, utc_date
+from tickloom.plans.dedup import keep_one, others
+from tickloom.plans.joins import join_on
+from tickloom.timeframe import parse
 
+AGGREGATED = "aggregated"
+VENUE_SERIES = ["exchange", "instrument_type", "symbol", "time"]
 SYNTHETIC_FIGURES = ("open", "high", "low", "close", "volume", "quote_volume", "twap", "vwap")
 
 
@@ -39,16 +44,18 @@ def aggregate_exchanges(
     asset: str = "base_asset",
     order: Sequence[str] | None = None,
     figures_rounded: bool = True,
+    distinct: bool = False,
+    timeframe: str = "1m",
 ) -> DataFrame:
     """One candle per (instrument_type, asset, time) over all venues.
 
     Volume is the sum. Prices are weighted by volume, or the plain mean where the total volume
-    is not positive. A missing price still counts its volume in the weight. ``order`` removes
-    repeated candles of one venue first (first in that order wins).
+    is not positive. A missing price still counts its volume in the weight. Of repeated candles
+    of one venue the first by ``order`` counts (by all other columns without it); pass
+    ``distinct=True`` where a venue's times are unique, which spares a shuffle.
     """
-    if order is not None:
-        series = ["exchange", "instrument_type", "symbol", "time"]
-        candles = keep_one(candles, series, order, "first")
+    if not distinct:
+        candles = keep_one(candles, VENUE_SERIES, order or others(candles, VENUE_SERIES), "first")
     total = F.coalesce(_double(F.sum("volume")), F.lit(0.0))
     aggregates = [total.alias("volume")]
     for p in PRICES:
@@ -65,11 +72,12 @@ def aggregate_exchanges(
     )
     if figures_rounded:
         result = rounded(result, [*PRICES, "volume"])
-    return result.select("instrument_type", "symbol", "time", *PRICES, "volume")
+    result = result.select("instrument_type", "symbol", "time", *PRICES, "volume")
+    return provenance(result, exchange=AGGREGATED, timeframe=timeframe)
 
 
 def synthesize(
-    candles: DataFrame, asset: str = "symbol", figures_rounded: bool = True
+    candles: DataFrame, asset: str = "symbol", figures_rounded: bool = True, timeframe: str = "1m"
 ) -> DataFrame:
     """Merge the spot and swap candles of each asset into one series.
 
@@ -104,7 +112,8 @@ def synthesize(
     )
     if figures_rounded:
         enriched = clamp_high_low(rounded(enriched, SYNTHETIC_FIGURES))
-    return enriched.select("symbol", "time", *SYNTHETIC_FIGURES)
+    enriched = enriched.select("symbol", "time", *SYNTHETIC_FIGURES)
+    return provenance(enriched, exchange=AGGREGATED, instrument_type="synthetic", timeframe=timeframe)
 
 
 def fill_prices_within_day(candles: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,7 +126,7 @@ def fill_prices_within_day(candles: DataFrame, keys: Sequence[str]) -> DataFrame
     back = day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        candles.withColumn("_day", F.to_date("time"))
+        candles.withColumn("_day", utc_date(candles, "time"))
         .withColumns(
             {
                 p: F.coalesce(
@@ -156,11 +165,24 @@ def price_basis(
     )
 
 
+def tick_vwap(ticks: DataFrame, width: str, keys: Sequence[str]) -> DataFrame:
+    """What was really paid per bar: traded value over traded quantity, null without quantity."""
+    bar = bar_start(to_micros(ticks, "time"), parse(width))
+    paid = ticks.groupBy(*keys, bar.alias("_bar")).agg(
+        _double(F.sum(F.col("price") * F.col("qty"))).alias("_value"), _double(F.sum("qty")).alias("_qty")
+    )
+    return paid.select(
+        *keys,
+        from_micros(F.col("_bar"), is_ntz(ticks, "time")).alias("time"),
+        F.try_divide(F.col("_value"), F.col("_qty")).alias("tick_vwap"),
+    )
+
+
 def vwap_validation(synthetic: DataFrame, tick_vwap: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How far the synthetic VWAP lies from the traded VWAP, per series."""
     error = F.abs(F.col("vwap") - F.col("tick_vwap"))
-    joined = synthetic.select(*keys, "time", "vwap").join(
-        tick_vwap.select(*keys, "time", "tick_vwap"), [*keys, "time"]
+    joined = join_on(
+        synthetic.select(*keys, "time", "vwap"), tick_vwap.select(*keys, "time", "tick_vwap"), [*keys, "time"]
     )
     return joined.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("bars"),

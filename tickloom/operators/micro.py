@@ -1,4 +1,4 @@
-"""Trade-level measures. Trades have no bound per day, hence range chunks."""
+"""Trade-level measures. Trades have no bound per day, hence chunks of a minute."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.columns import signed_qty, taker_side
 from tickloom.functions.timecol import to_micros, whole_div
-from tickloom.plans.chunked import CHUNK, previous_row, range_chunks, running_sums
+from tickloom.plans.chunked import CHUNK, minute_chunks, previous_row, running_sums
+from tickloom.plans.joins import join_on
 from tickloom.plans.quantiles import exact_quantiles
 
 TICK_ORDER = ("time", "trade_id")
@@ -31,7 +32,7 @@ def trade_flow(
     ticks: DataFrame, keys: Sequence[str], order: Sequence[str] = TICK_ORDER
 ) -> DataFrame:
     """Cumulative volume delta and cumulative VWAP after each trade of a series."""
-    chunked = range_chunks(with_flow(ticks), keys, order)
+    chunked = minute_chunks(with_flow(ticks), order[0])
     sums = {
         "cvd": F.col("signed_qty"),
         "cum_cost": F.col("cost"),
@@ -47,7 +48,7 @@ def inter_arrival(
 ) -> DataFrame:
     """Microseconds between consecutive trades: series keys and ``delta_us``."""
     slim = ticks.select(*keys, *order).withColumn("_us", to_micros(ticks, order[0]))
-    seen = previous_row(range_chunks(slim, keys, order), keys, order, {"_before": F.col("_us")})
+    seen = previous_row(minute_chunks(slim, order[0]), keys, order, {"_before": F.col("_us")})
     return seen.where("_before IS NOT NULL").select(
         *keys, (F.col("_us") - F.col("_before")).alias("delta_us")
     )
@@ -66,7 +67,7 @@ def inter_arrival_stats(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     quantiles = exact_quantiles(deltas, keys, "delta_us", QUARTILES)
     in_ms = quantiles.select(*keys, *[(F.col(q) / F.lit(1000.0)).alias(q) for q in QUARTILES])
-    return plain.join(in_ms, list(keys))
+    return join_on(plain, in_ms, keys)
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) -> DataFrame:
@@ -77,13 +78,13 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) ->
     scaled = (F.col(value) - F.col("_lo")) * F.lit(bins)
     place = F.least(whole_div(scaled, F.nullif(span, F.lit(0))), F.lit(bins - 1)).cast("int")
     index = F.when(span == 0, F.lit(bins // 2)).otherwise(place)
-    placed = df.where(F.col(value).isNotNull()).join(edges, list(keys))
+    placed = join_on(df.where(F.col(value).isNotNull()), edges, keys)
     counts = placed.groupBy(*keys, index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = edges.where("_lo IS NOT NULL").withColumn(
         "bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))
     )
     width = span / F.lit(float(bins))
-    return grid.join(counts, [*keys, "bin"], "left").select(
+    return join_on(grid, counts, [*keys, "bin"], "left").select(
         *keys,
         "bin",
         (F.col("_lo") + F.col("bin") * width).alias("bin_start"),

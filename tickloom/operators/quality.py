@@ -18,20 +18,20 @@ from tickloom.functions.timecol import (
     is_ntz,
     seconds_between,
     to_micros,
+    utc_date,
     whole_div,
 )
-from tickloom.operators.micro import buy_sell_ratio, tick_stats
 from tickloom.operators.sequence import (
     SERIES,
     alignment_score,
     candle_gaps,
     explode_steps,
-    timeframe_micros,
     with_continuity,
 )
-from tickloom.plans.chunked import CHUNK, day_chunks, previous_row
+from tickloom.plans.chunked import CHUNK, MINUTE_US, day_chunks, previous_row
 from tickloom.plans.dedup import keep_one
-from tickloom.timeframe import parse
+from tickloom.plans.joins import join_on
+from tickloom.timeframe import micros_of, parse
 
 TICK_SERIES = ("exchange", "instrument_type", "symbol")
 HOUR = "1h"
@@ -70,7 +70,7 @@ def ohlcv_quality(
     """
     if order is not None:
         candles = keep_one(candles, [*keys, "time"], order, "first")
-    width = F.lit(parse(timeframe).micros) if timeframe else timeframe_micros(F.col("timeframe"))
+    width = F.lit(parse(timeframe).micros) if timeframe else micros_of(F.col("timeframe"))
     judged = with_continuity(candles, keys, width)
     gap_us = F.when(F.col("_is_gap"), F.col("_us") - F.col("_before"))
     rows = F.count(F.lit(1))
@@ -118,9 +118,8 @@ def has_data(
 ) -> DataFrame:
     """Whether stored rows reach within the tolerance of both ends of each request.
 
-    Requests and rows meet on (series, day). Rows are cut down to the first and last of each
-    day; only the two edge days of a request need its exact bounds, and there the rows are
-    reduced by the request itself.
+    Requests and rows meet on (series, day), with the rows cut down to the first and last of
+    each day; on the edge days of a request, to those of each minute.
     """
     ntz = is_ntz(df, "time")
     asked = requests.select(
@@ -131,24 +130,28 @@ def has_data(
     first_day, last_day = day_number(F.col("_rs")), day_number(F.col("_re") - F.lit(1))
     by_day = asked.withColumn("_day", F.explode(F.sequence(first_day, last_day)))
     edge = (F.col("_day") == first_day) | (F.col("_day") == last_day)
-    rows = df.select(*keys, to_micros(df, "time").alias("_us")).withColumn(
-        "_day", day_number(F.col("_us"))
-    )
+    us = to_micros(df, "time")
+    rows = df.select(*keys, us.alias("_us"), whole_div(us, MINUTE_US).alias("_minute"))
+    # Minutes first: a request meets one row per minute of its edge days, and single rows only in
+    # the minutes that hold its ends.
+    minutes = rows.groupBy(*keys, "_minute").agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+    minutes = minutes.withColumn("_day", day_number(F.col("_lo")))
     request = [*keys, "_rs", "_re"]
-    inner_days = rows.groupBy(*keys, "_day").agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-    inner = by_day.where(~edge).join(inner_days, [*keys, "_day"]).select(*request, "_lo", "_hi")
-    outer = (
-        by_day.where(edge)
-        .join(rows, [*keys, "_day"])
-        .where("_us >= _rs AND _us < _re")
-        .select(*request, F.col("_us").alias("_lo"), F.col("_us").alias("_hi"))
+    inner_days = minutes.groupBy(*keys, "_day").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    inner = join_on(by_day.where(~edge), inner_days, [*keys, "_day"]).select(*request, "_lo", "_hi")
+    whole = join_on(by_day.where(edge), minutes, [*keys, "_day"]).where("_lo >= _rs AND _hi < _re")
+    ends = F.array_distinct(F.array(*[whole_div(c, MINUTE_US) for c in (F.col("_rs"), F.col("_re") - F.lit(1))]))
+    at_ends = join_on(asked.withColumn("_minute", F.explode(ends)), rows, [*keys, "_minute"])
+    at_ends = at_ends.where("_us >= _rs AND _us < _re")
+    outer = whole.select(*request, "_lo", "_hi").unionByName(
+        at_ends.select(*request, F.col("_us").alias("_lo"), F.col("_us").alias("_hi"))
     )
     found = inner.unionByName(outer).groupBy(*request).agg(
         F.min("_lo").alias("_first"), F.max("_hi").alias("_last")
     )
     slack = F.lit(tolerance_seconds * 1_000_000)
     covered = (F.col("_first") <= F.col("_rs") + slack) & (F.col("_last") >= F.col("_re") - slack)
-    return asked.join(found, request, "left").select(
+    return join_on(asked, found, request, "left").select(
         *keys,
         from_micros(F.col("_rs"), ntz).alias("start_ts"),
         from_micros(F.col("_re"), ntz).alias("end_ts"),
@@ -197,7 +200,7 @@ def empty_bucket_gaps(ticks: DataFrame, keys: Sequence[str], width: str = HOUR)
 
 
 def daily_breakdown(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return ticks.groupBy(*keys, F.to_date("time").alias("date")).agg(
+    return ticks.groupBy(*keys, utc_date(ticks, "time").alias("date")).agg(
         F.count(F.lit(1)).alias("count"),
         F.min("time").alias("min_time"),
         F.max("time").alias("max_time"),
@@ -222,29 +225,70 @@ def tick_quality_days(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def bucket_partials(ticks: DataFrame, keys: Sequence[str], width: str = HOUR) -> DataFrame:
+    """One row per series and clock bucket with figures that add up: the only pass over trades."""
+    qty = "qty" if "qty" in ticks.columns else "amount"
+    bucket = bar_start(to_micros(ticks, "time"), parse(width))
+    sides = {"buys": False, "sells": True}
+    known = "is_buyer_maker" in ticks.columns
+    return ticks.groupBy(*keys, bucket.alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("time").alias("min_time"),
+        F.max("time").alias("max_time"),
+        F.sum(qty).alias("qty"),
+        F.count(qty).alias("qty_n"),
+        F.sum("price").alias("price"),
+        F.count("price").alias("price_n"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        *[
+            (F.count_if(F.col("is_buyer_maker") == maker) if known else F.lit(None).cast("long")).alias(side)
+            for side, maker in sides.items()
+        ],
+    )
+
+
 def tick_quality_gaps(
-    ticks: DataFrame, keys: Sequence[str] = TICK_SERIES, width: str = HOUR
+    ticks: DataFrame, keys: Sequence[str] = TICK_SERIES, width: str = HOUR, data_type: str = "trades"
 ) -> DataFrame:
-    """Share of the time span not lost to empty buckets, with volume, price and side figures."""
-    span = coverage_summary(ticks, keys).withColumnRenamed("count", "total_rows")
-    gaps = empty_bucket_gaps(ticks, keys, width).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("gap_count"), F.sum("gap_seconds").alias("gap_seconds")
+    """Share of the time span not lost to empty buckets, with volume, price and side figures.
+
+    All of it comes from one pass: the figures of a series are those of its buckets put
+    together. Without ``is_buyer_maker`` the side figures are null.
+    """
+    step = parse(width).micros
+    ntz = is_ntz(ticks, "time")
+    seen = _with_previous_bucket(bucket_partials(ticks, keys, width), keys, ntz)
+    lost = F.col("_bucket") - F.col("_before") - F.lit(step)
+    report = seen.groupBy(*keys).agg(
+        F.min("min_time").alias("start_date"),
+        F.max("max_time").alias("end_date"),
+        F.sum("n").alias("total_rows"),
+        F.count_if(lost > 0).alias("gap_count"),
+        (F.coalesce(F.sum(F.when(lost > 0, lost)), F.lit(0)) / F.lit(1_000_000.0)).alias("gap_seconds"),
+        F.sum("qty").alias("total_volume"),
+        F.try_divide(F.sum("qty").cast("double"), F.sum("qty_n")).alias("avg_trade_size"),
+        F.min("min_price").alias("min_price"),
+        F.max("max_price").alias("max_price"),
+        F.try_divide(F.sum("price").cast("double"), F.sum("price_n")).alias("avg_price"),
+        F.sum("n").alias("trades"),
+        F.sum("buys").alias("buys"),
+        F.sum("sells").alias("sells"),
     )
-    report = span.join(gaps, list(keys), "left").join(tick_stats(ticks, keys), list(keys))
-    if "is_buyer_maker" in ticks.columns:
-        report = report.join(buy_sell_ratio(ticks, keys), list(keys))
+    sides = F.col("buys") + F.col("sells")
     total = seconds_between(to_micros(report, "start_date"), to_micros(report, "end_date"))
-    report = report.withColumns(
-        {
-            "gap_count": F.coalesce("gap_count", F.lit(0)),
-            "gap_seconds": F.coalesce("gap_seconds", F.lit(0.0)),
-        }
-    )
     score = F.when(
         total > 0,
         F.greatest(F.lit(0.0), F.lit(100.0) * (F.lit(1.0) - F.col("gap_seconds") / total)),
     ).otherwise(F.lit(100.0))
-    return report.withColumn("quality_score", score)
+    return report.withColumns(
+        {
+            "buy_ratio": F.try_divide(F.col("buys"), sides),
+            "sell_ratio": F.try_divide(F.col("sells"), sides),
+            "quality_score": score,
+            "data_type": F.lit(data_type),
+        }
+    )
 
 
 def quality_summary(candle_report: DataFrame, tick_report: DataFrame) -> DataFrame:
@@ -272,7 +316,7 @@ def quality_summary(candle_report: DataFrame, tick_report: DataFrame) -> DataFra
         "exchange",
         "instrument_type",
         "symbol",
-        F.lit("trades").alias("data_type"),
+        "data_type",
         F.lit(None).cast("string").alias("timeframe"),
         "start_date",
         "end_date",

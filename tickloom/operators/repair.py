@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros
 from tickloom.operators.sequence import SERIES, explode_steps, last_close_before
+from tickloom.plans.dedup import keep_one
+from tickloom.plans.joins import join_on
 from tickloom.timeframe import parse
 
 CANDLE_FIGURES = ("open", "high", "low", "close", "volume")
 
 
-def gap_steps(gaps: DataFrame, timeframe: str, keys: Sequence[str]) -> DataFrame:
-    """Every bar time in [gap_start, gap_end), with the gap it belongs to."""
+def gap_steps(gaps: DataFrame, candles: DataFrame, timeframe: str, keys: Sequence[str]) -> DataFrame:
+    """Every bar time in [gap_start, gap_end) without a stored candle, with the gap it belongs to."""
     ntz = is_ntz(gaps, "gap_start")
     stepped = explode_steps(
         gaps.select(*keys, "gap_start", "gap_end"),
@@ -24,7 +26,8 @@ def gap_steps(gaps: DataFrame, timeframe: str, keys: Sequence[str]) -> DataFrame
         parse(timeframe).micros,
         "_at",
     )
-    return stepped.withColumn("time", from_micros(F.col("_at"), ntz)).drop("_at")
+    steps = stepped.withColumn("time", from_micros(F.col("_at"), ntz)).drop("_at")
+    return join_on(steps, candles.select(*keys, "time"), [*keys, "time"], "left_anti")
 
 
 def zero_fill_gaps(
@@ -32,11 +35,11 @@ def zero_fill_gaps(
 ) -> DataFrame:
     """Flat bars over each gap: all prices at the last close before it (else 0), no volume.
 
-    The bar at the start of a gap belongs to a stored candle; storing with keep-first keeps it.
+    Times that have a stored candle, such as the start of a gap between two candles, get no bar.
     """
     seeds = last_close_before(gaps.select(*keys, "gap_start", "gap_end"), candles, keys, "gap_start")
-    steps = gap_steps(gaps, timeframe, keys)
-    priced = steps.join(seeds, [*keys, "gap_start", "gap_end"])
+    steps = gap_steps(gaps, candles, timeframe, keys)
+    priced = join_on(steps, seeds, [*keys, "gap_start", "gap_end"])
     close = F.col("last_close")
     return priced.select(
         *keys,
@@ -55,9 +58,10 @@ def repair_from_landing(
     keys: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Candles to store for the gaps: landed ones first, flat bars for the steps still open."""
-    found = _landed_in_gaps(gaps, landed, keys)
+    found = keep_one(_landed_in_gaps(gaps, landed, keys), [*keys, "time"], list(CANDLE_FIGURES), "first")
+    found = join_on(found, candles.select(*keys, "time"), [*keys, "time"], "left_anti")
     flat = zero_fill_gaps(gaps, candles, timeframe, keys)
-    open_steps = flat.join(found.select(*keys, "time"), [*keys, "time"], "left_anti")
+    open_steps = join_on(flat, found.select(*keys, "time"), [*keys, "time"], "left_anti")
     real = found.select(
         *keys,
         "time",
@@ -82,7 +86,7 @@ def _landed_in_gaps(gaps: DataFrame, landed: DataFrame, keys: Sequence[str]) ->
         rows.alias("r")
         .join(
             by_day.alias("g"),
-            [F.col(f"r.{k}") == F.col(f"g.{k}") for k in (*keys, "_day")]
+            [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in (*keys, "_day")]
             + [F.col("r._us") >= F.col("g._gs"), F.col("r._us") < F.col("g._ge")],
             "left_semi",
         )
@@ -91,12 +95,12 @@ def _landed_in_gaps(gaps: DataFrame, landed: DataFrame, keys: Sequence[str]) ->
 
 
 def repair_status(
-    gaps: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str] = SERIES
+    gaps: DataFrame, candles: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str] = SERIES
 ) -> DataFrame:
-    """Per gap and its outcome: ``filled`` (all from landing), ``partial`` or ``zero_filled``."""
-    steps = gap_steps(gaps, timeframe, keys)
+    """Each gap and its outcome: ``filled`` (all missing bars landed), ``partial`` or ``zero_filled``."""
+    steps = gap_steps(gaps, candles, timeframe, keys)
     have = landed.select(*keys, "time").distinct().withColumn("_have", F.lit(1))
-    counted = steps.join(have, [*keys, "time"], "left").groupBy(*keys, "gap_start", "gap_end").agg(
+    counted = join_on(steps, have, [*keys, "time"], "left").groupBy(*keys, "gap_start", "gap_end").agg(
         F.count(F.lit(1)).alias("steps"), F.count("_have").alias("landed_steps")
     )
     status = (

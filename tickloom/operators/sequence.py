@@ -8,25 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.timecol import from_micros, is_ntz, seconds_between, to_micros
-from tickloom.plans.chunked import CHUNK, day_chunks, last_known, previous_row
-from tickloom.timeframe import DAY_US, parse
+from tickloom.plans.chunked import CHUNK, day_chunks, last_known, minute_chunks, previous_row
+from tickloom.timeframe import DAY_US, micros_of, parse
 
 SERIES = ("exchange", "instrument_type", "symbol", "timeframe")
 
 
-def timeframe_micros(timeframe: Column) -> Column:
-    """Bar width in microseconds from a column such as ``5m`` or ``1d``."""
-    count = F.regexp_extract(timeframe, r"^(\d+)", 1).try_cast("bigint")
-    unit = F.lower(F.regexp_extract(timeframe, r"([a-zA-Z]+)$", 1))
-    width = (
-        F.when(unit == "m", 60)
-        .when(unit == "h", 3_600)
-        .when(unit == "d", 86_400)
-        .when(unit == "w", 604_800)
-    )
-    return count * width.cast("bigint") * F.lit(1_000_000)
-
-
 def fill_open(candles: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A missing open becomes the close of the row before."""
     chunked = day_chunks(candles)
@@ -37,7 +24,7 @@ def fill_open(candles: DataFrame, keys: Sequence[str]) -> DataFrame:
 def time_deltas(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Seconds since the row before, null on the first row of a series."""
     timed = df.withColumn("_us", to_micros(df, "time"))
-    seen = previous_row(day_chunks(timed), keys, ["time"], {"_before": F.col("_us")})
+    seen = previous_row(minute_chunks(timed), keys, ["time"], {"_before": F.col("_us")})
     return seen.withColumn("delta_seconds", seconds_between(F.col("_before"), F.col("_us"))).drop(
         "_before", "_us", CHUNK
     )
@@ -71,7 +58,7 @@ def candle_gaps(candles: DataFrame, timeframe: str | None, keys: Sequence[str])
 
     Without a ``timeframe`` each row's own ``timeframe`` column gives the bar width.
     """
-    width = F.lit(parse(timeframe).micros) if timeframe else timeframe_micros(F.col("timeframe"))
+    width = F.lit(parse(timeframe).micros) if timeframe else micros_of(F.col("timeframe"))
     ntz = is_ntz(candles, "time")
     judged = with_continuity(candles, keys, width).where("_is_gap")
     return judged.select(

@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import feature_column
-from tickloom.functions.timecol import from_micros, is_ntz, to_micros, whole_div
+from tickloom.functions.timecol import from_micros, is_ntz, to_micros, utc_date, whole_div
 from tickloom.plans.dedup import keep_one
+from tickloom.plans.joins import join_on
 from tickloom.timeframe import DAY_US, parse
 
-# Defaults of the reference: intervals and features of a sliding dataset.
+# Default intervals and features of a sliding dataset.
 INTERVALS = ("1m", "5m", "1h")
 FEATURES = ("open", "high", "low", "close", "volume", "quote_volume", "twap", "vwap")
 
@@ -83,7 +84,7 @@ def _blocks(days: DataFrame, keys: Sequence[str], longest: int, block_days: int)
     )
     # Bit i of the mask says that day base+i is an output of this block.
     masks = placed.groupBy(*block).agg(F.sum(F.expr("shiftleft(1L, _day - _base)")).alias("_mask"))
-    return reads.select(*block, "_reads").distinct().join(masks, block)
+    return join_on(reads.select(*block, "_reads").distinct(), masks, block)
 
 
 def _measures(valid: Sequence[tuple[str, Column]]) -> Column:
@@ -144,7 +145,7 @@ def dense_blocks(
     """
     blocks = _blocks(_days(candles, keys), keys, longest, block_days)
     block = [*keys, "_base", "_alone"]
-    read = candles.join(blocks.withColumnRenamed("_reads", "_day"), [*keys, "_day"])
+    read = join_on(candles, blocks.withColumnRenamed("_reads", "_day"), [*keys, "_day"])
     along = Window.partitionBy(*block).orderBy("_m")
     following = F.lead("_m").over(along)
     seen = read.withColumns(
@@ -253,12 +254,17 @@ def sliding_features(
         for w in lengths:
             ratio = F.try_divide(F.col(f"_w{w}.pv"), F.col(f"_w{w}.volume"))
             rolled = rolled.withColumn(f"_r{w}", F.coalesce(ratio, F.col("vwap")))
-        # Backward fill in the same sort order: the next row that has a value.
+        # Backward fill in the same sort order, from the row's own day only: a later day is the future.
         spec = f"PARTITION BY {', '.join(f'`{c}`' for c in block)} ORDER BY _m"
+        rolled = rolled.withColumns(
+            {f"_n{w}": F.when(F.col(f"_r{w}").isNotNull(), F.struct("_m", F.col(f"_r{w}").alias("r"))) for w in lengths}
+        )
+        rolled = rolled.withColumns({f"_n{w}": F.expr(f"lead(_n{w}, 1) IGNORE NULLS OVER ({spec})") for w in lengths})
+        day = lambda m: whole_div(m, DAY_MINUTES)
         rolled = rolled.withColumns(
             {
                 f"_v{w}": F.coalesce(
-                    F.col(f"_r{w}"), F.expr(f"lead(_r{w}, 1) IGNORE NULLS OVER ({spec})")
+                    F.col(f"_r{w}"), F.when(day(F.col(f"_n{w}._m")) == day(F.col("_m")), F.col(f"_n{w}.r"))
                 )
                 for w in lengths
             }
@@ -308,7 +314,7 @@ def sliding_quality(sliding: DataFrame, features: Sequence[str], keys: Sequence[
     """Missing values and lowest open of each (asset, day)."""
     flat = F.flatten("features")
     missing = F.size(F.filter(flat, lambda v: v.isNull()))
-    report = sliding.withColumn("date", F.to_date("time"))
+    report = sliding.withColumn("date", utc_date(sliding, "time"))
     aggregates = [F.sum(missing).alias("missing_values")]
     if "open" in features:
         place = list(features).index("open")

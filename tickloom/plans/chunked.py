@@ -4,14 +4,13 @@ A window partitioned by the series alone would put a whole series, possibly a th
 rows, into one task. Every function here works in three steps instead:
 
 1. summarise each (series, chunk) with a grouped aggregate, combined map-side;
-2. scan the summaries of a series in chunk order (one row per chunk, a few thousand);
+2. carry the summaries along the series in two levels: within runs of chunks, then over the
+   runs, so that no task sees more than one row per chunk of a run or one per run;
 3. join the carried value back and run the row-level window inside (series, chunk).
 
-A chunk is either a calendar period that bounds the rows by construction (at most 1,440
-one-minute candles a day) or, where nothing bounds the rows of a period, a range partition
-made by :func:`range_chunks`. Chunks must ascend in the same order as the rows.
-
-Series keys must not be null, as the dataset keys in ``schemas`` require.
+A chunk is a calendar period: a day for candles (at most 1,440 one-minute bars), a minute for
+trades. It follows from the row alone, so nothing has to be sampled or stored. A null series
+key is a series like any other.
 """
 
 from __future__ import annotations
@@ -21,55 +20,66 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.timecol import day_number, to_micros
-from tickloom.session import checkpoint_dir
+from tickloom.functions.timecol import day_number, to_micros, whole_div
+from tickloom.plans.joins import join_on
 
 CHUNK = "_chunk"
+# Chunks in a run: the minutes of a day, or about four years of days.
+RUN = 1_440
+MINUTE_US = 60_000_000
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_chunk``: the range partition of the row in (keys, order).
-
-    Spark samples the keys and cuts the ranges evenly, so a hot series or a hot moment is
-    spread over many partitions. Range bounds come from a sample taken per execution, hence
-    the checkpoint: both later branches must see the same chunk of each row, also when a lost
-    executor forces a recomputation.
-    """
-    checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)])
-    return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
+def minute_chunks(df: DataFrame, time: str = "time") -> DataFrame:
+    """Add ``_chunk``: the UTC minute. For trades and other rows that a day does not bound."""
+    return df.withColumn(CHUNK, whole_div(to_micros(df, time), MINUTE_US))
 
 
 def day_chunks(df: DataFrame, time: str = "time") -> DataFrame:
     """Add ``_chunk``: the UTC day. For rows a day bounds, such as candles or daily summaries."""
-    return df.withColumn(CHUNK, day_number(to_micros(df, time)))
+    return df.withColumn(CHUNK, day_number(to_micros(df, time)).cast("long"))
 
 
 def _rows(keys: Sequence[str], order: Sequence[str]) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
-def _earlier_chunks(keys: Sequence[str]) -> Window:
-    return (
-        Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+def _plus(a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
+_OVER = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
+_TOTAL = {"sum": F.sum, "max": F.max, "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(CHUNK)))}
+_COMBINE = {"sum": _plus, "max": F.greatest, "last": lambda earlier, within: F.coalesce(within, earlier)}
+
+
+def _carry(summary: DataFrame, keys: Sequence[str], kinds: Mapping[str, str]) -> DataFrame:
+    """Replace each column by what all earlier chunks of the series come to."""
+    run = summary.withColumn("_run", whole_div(F.col(CHUNK), RUN))
+    runs = run.groupBy(*keys, "_run").agg(*[_TOTAL[kind](n).alias(f"_all_{n}") for n, kind in kinds.items()])
+    before_run = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = runs.select(
+        *keys, "_run", *[_OVER[kind](f"_all_{n}").over(before_run).alias(f"_run_{n}") for n, kind in kinds.items()]
+    )
+    before = Window.partitionBy(*keys, "_run").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    within = run.select(
+        *keys, "_run", CHUNK, *[_OVER[kind](n).over(before).alias(f"_in_{n}") for n, kind in kinds.items()]
+    )
+    both = join_on(within, earlier, [*keys, "_run"])
+    return both.select(
+        *keys, CHUNK, *[_COMBINE[kind](F.col(f"_run_{n}"), F.col(f"_in_{n}")).alias(n) for n, kind in kinds.items()]
     )
 
 
 def _attach(df: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(carried, [*keys, CHUNK])
+    return join_on(df, carried, [*keys, CHUNK])
 
 
 def running_sums(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]
 ) -> DataFrame:
     """Running totals from the start of each series up to and including the row."""
-    totals = df.groupBy(*keys, CHUNK).agg(
-        *[F.sum(value).alias(f"_before_{name}") for name, value in sums.items()]
-    )
-    earlier = _earlier_chunks(keys)
-    carried = totals.select(
-        *keys, CHUNK, *[F.sum(f"_before_{n}").over(earlier).alias(f"_before_{n}") for n in sums]
-    )
+    totals = df.groupBy(*keys, CHUNK).agg(*[F.sum(value).alias(f"_before_{name}") for name, value in sums.items()])
+    carried = _carry(totals, keys, {f"_before_{n}": "sum" for n in sums})
     frame = _rows(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = _attach(df, carried, keys)
     zero = F.lit(0)
@@ -88,7 +98,7 @@ def running_max(
 ) -> DataFrame:
     """Largest value of all strictly earlier rows of the series; null on the first row."""
     tops = df.groupBy(*keys, CHUNK).agg(F.max(value).alias("_top"))
-    carried = tops.select(*keys, CHUNK, F.max("_top").over(_earlier_chunks(keys)).alias("_top"))
+    carried = _carry(tops, keys, {"_top": "max"})
     frame = _rows(keys, order).rowsBetween(Window.unboundedPreceding, -1)
     joined = _attach(df, carried, keys)
     return joined.withColumn(name, F.greatest(F.col("_top"), F.max(value).over(frame))).drop("_top")
@@ -99,15 +109,13 @@ def previous_row(
 ) -> DataFrame:
     """The given expressions evaluated on the row before, across chunk edges."""
     row = F.struct(*[value.alias(name) for name, value in values.items()])
-    lasts = df.groupBy(*keys, CHUNK).agg(F.max_by(row, F.struct(*order)).alias("_last"))
-    carried = lasts.select(
-        *keys, CHUNK, F.lag("_last").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_carry")
-    )
+    lasts = df.groupBy(*keys, CHUNK).agg(F.max_by(row, F.struct(*order)).alias("_before_row"))
+    carried = _carry(lasts, keys, {"_before_row": "last"})
     joined = _attach(df, carried, keys)
     local = F.lag(row).over(_rows(keys, order))
-    found = joined.withColumn("_previous", F.coalesce(local, F.col("_carry")))
+    found = joined.withColumn("_previous", F.coalesce(local, F.col("_before_row")))
     return found.withColumns({n: F.col(f"_previous.{n}") for n in values}).drop(
-        "_carry", "_previous"
+        "_before_row", "_previous"
     )
 
 
@@ -122,12 +130,7 @@ def last_known(
             for name, value in values.items()
         ]
     )
-    earlier = _earlier_chunks(keys)
-    carried = lasts.select(
-        *keys,
-        CHUNK,
-        *[F.last(f"_seed_{n}", ignorenulls=True).over(earlier).alias(f"_seed_{n}") for n in values],
-    )
+    carried = _carry(lasts, keys, {f"_seed_{n}": "last" for n in values})
     frame = _rows(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = _attach(df, carried, keys)
     return joined.withColumns(

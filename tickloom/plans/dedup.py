@@ -20,3 +20,8 @@ def keep_one(
     ordering = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def others(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """All columns but the keys: an order that leaves no tie between rows that differ."""
+    return [c for c in df.columns if c not in keys] or list(keys)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.plans.chunked import CHUNK, running_sums
+from tickloom.plans.joins import join_on
 
 # Distinct whole numbers per chunk: the bound on one window partition.
 VALUES_PER_CHUNK = 65_536
@@ -29,7 +30,7 @@ def exact_quantiles(
         .withColumn(CHUNK, F.floor(F.col(value) / F.lit(VALUES_PER_CHUNK)))
     )
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    ranked = running_sums(counts, keys, [value], {"_upto": F.col("_n")}).join(sizes, list(keys))
+    ranked = join_on(running_sums(counts, keys, [value], {"_upto": F.col("_n")}), sizes, keys)
     aggregates = []
     for name, share in wanted.items():
         place = F.lit(share) * (F.col("_size") - 1)
