@@ -83,8 +83,11 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("decimal(9,0)").alias("qty"),
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("trade_id"),
     )
-    daily = doubles(bars.tick_bars(rows, "1d", ["symbol"], order=("time", "trade_id", "price")), *C.PRICES, "volume")
-    return daily.withColumns({"twap": C.ohlc4(), "vwap": C.ohlc4(), "quote_volume": C.ohlc4() * F.col("volume")})
+    daily = bars.tick_bars(rows, "1d", ["symbol"], order=("time", "trade_id", "price"))
+    typical = ((F.col("open") + F.col("high") + F.col("low") + F.col("close")) * F.expr("0.25BD")).cast("decimal(18,4)")
+    daily = daily.withColumns({"twap": typical, "vwap": typical, "volume": F.col("volume").cast("decimal(9,0)")})
+    daily = daily.withColumn("quote_volume", (F.col("twap") * F.col("volume")).cast("decimal(28,4)"))
+    return doubles(daily, *C.PRICES)
 
 
 def covered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +139,14 @@ SQL = {
     + ", ".join(f"{_round2(p)} AS {p}" for p in (*C.PRICES, "volume"))
     + f", {_round2(f'{_OHLC4} * volume')} AS quote_volume, {_round2(_OHLC4)} AS twap, {_round2(_OHLC4)} AS vwap FROM filled",
     "synthetic": "SELECT symbol, time, open, greatest(high, open, close) AS high, least(low, open, close) AS low, close, volume, quote_volume, twap, vwap FROM rounded",
-    "daily": f"""SELECT *, {_OHLC4} AS twap, {_OHLC4} AS vwap, {_OHLC4} * volume AS quote_volume FROM (
+    "daily": f"""SELECT symbol, time, {_DOUBLE_PRICES}, volume, twap, twap AS vwap, CAST(twap * volume AS DECIMAL(28,4)) AS quote_volume FROM (
+        SELECT *, CAST((open + high + low + close) * 0.25 AS DECIMAL(18,4)) AS twap FROM (
         SELECT 'A' || (l_suppkey % 5) AS symbol, date_trunc('day', l_shipdate) AS time,
-        CAST(first(CAST(l_extendedprice AS DECIMAL(18,2)) ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS DOUBLE) AS open,
-        CAST(max(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS high, CAST(min(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS low,
-        CAST(last(CAST(l_extendedprice AS DECIMAL(18,2)) ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS DOUBLE) AS close,
-        CAST(sum(CAST(l_quantity AS DECIMAL(9,0))) AS DOUBLE) AS volume
-        FROM lineitem GROUP BY 1, 2)""",
+        first(CAST(l_extendedprice AS DECIMAL(18,2)) ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS open,
+        max(CAST(l_extendedprice AS DECIMAL(18,2))) AS high, min(CAST(l_extendedprice AS DECIMAL(18,2))) AS low,
+        last(CAST(l_extendedprice AS DECIMAL(18,2)) ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS close,
+        CAST(sum(CAST(l_quantity AS DECIMAL(9,0))) AS DECIMAL(9,0)) AS volume
+        FROM lineitem GROUP BY 1, 2))""",
     "covered": "SELECT o_custkey % 20 AS symbol, o_orderdate AS start_ts, o_orderdate + to_days(CAST(o_orderkey % 3 + 1 AS INTEGER)) AS end_ts FROM orders",
     "requests": "SELECT DISTINCT o_custkey % 20 AS symbol, o_orderdate AS start_ts, o_orderdate + to_days(CAST(o_orderkey % 60 + 1 AS INTEGER)) AS end_ts FROM orders WHERE CAST(floor(o_totalprice) AS BIGINT) % 100 = 7",
     "islands": """SELECT symbol, min(start_ts) AS start_ts, max(end_ts) AS end_ts FROM (
@@ -210,7 +214,7 @@ def _resampled(source: str, bar: str, frame: str, year: str = "NULL") -> str:
     return f"""SELECT symbol, '{frame}' AS timeframe, time, open, greatest(high, open, close) AS high, least(low, open, close) AS low, close, volume, quote_volume, twap, vwap, anchor_year FROM (
         SELECT symbol, bar AS time, {outer}, {vwap} AS vwap, anchor_year FROM (
         SELECT symbol, bar, anchor_year, first(open ORDER BY time) FILTER (open IS NOT NULL) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY time) FILTER (close IS NOT NULL) AS close,
-        coalesce(sum(volume), 0) AS volume, coalesce(sum(quote_volume), 0) AS quote_volume, avg(twap) AS twap, coalesce(sum(vwap * volume), 0) AS pv
+        CAST(coalesce(sum(volume), 0) AS DOUBLE) AS volume, CAST(coalesce(sum(quote_volume), 0) AS DOUBLE) AS quote_volume, CAST(sum(twap) AS DOUBLE) / count(twap) AS twap, CAST(coalesce(sum(vwap * volume), 0) AS DOUBLE) AS pv
         FROM (SELECT *, {bar} AS bar, CAST({year} AS INTEGER) AS anchor_year FROM {source}) GROUP BY symbol, bar, anchor_year) WHERE open IS NOT NULL)"""
 
 
@@ -529,11 +533,11 @@ def claimed_but_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.claimed_but_missing(covered(spark, sf_dir), days.select("symbol", utc_date(days, "time").alias("date")), ["symbol"])
 
 
-@query("SELECT DISTINCT exchange, CAST(time AS DATE) AS date FROM ticks WHERE CAST(time AS DATE) NOT IN (SELECT CAST(time AS DATE) FROM ticks WHERE exchange = 'purchase' AND price > 120)", "ticks")
+@query("SELECT DISTINCT exchange, CAST(time AS DATE) AS date FROM ticks WHERE CAST(time AS DATE) NOT IN (SELECT CAST(time AS DATE) FROM ticks WHERE exchange = 'purchase' AND price > 260)", "ticks")
 def pending_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days without a dear purchase."""
     source = ticks(spark, sf_dir).withColumn("date", F.to_date("time"))
-    done = source.where((F.col("exchange") == "purchase") & (F.col("price") > 120))
+    done = source.where((F.col("exchange") == "purchase") & (F.col("price") > 260))
     return intervals.pending_days(source, done.select("date").distinct().join(source.select("exchange").distinct(), F.lit(True)), ["exchange", "date"])
 
 
