@@ -16,6 +16,9 @@ from tickloom.functions import columns as C
 from tickloom.functions.timecol import utc_date
 from tickloom.operators import bars, intervals, market, micro, quality, repair, sequence, sliding
 from tickloom.plans.dedup import keep_one
+from tickloom.sinks.upsert import merge
+from tickloom.sources import land
+from tickloom.sources.datasets import available
 
 VENUE = ("exchange", "instrument_type", "symbol")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -692,6 +695,78 @@ def dedup_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_one(rows, ["exchange", "symbol", "hour"], ["time", "trade_id"], "last").select(*VENUE, "time", "trade_id")
 
 
+# --- storage --------------------------------------------------------------------------------------------------------------
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored and new trades that share a third of their keys, where the new ones cost more."""
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
+    new = rows.where(F.col("l_orderkey") % 3 != 1).withColumn("price", F.col("price") + 1)
+    return rows.where(F.col("l_orderkey") % 3 != 0), new
+
+
+def _merged(best: str) -> str:
+    return f"""SELECT l_orderkey, l_linenumber, price FROM (
+        SELECT 0 AS side, l_orderkey, l_linenumber, l_extendedprice AS price FROM lineitem WHERE l_orderkey % 3 <> 0
+        UNION ALL SELECT 1, l_orderkey, l_linenumber, l_extendedprice + 1 FROM lineitem WHERE l_orderkey % 3 <> 1)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY side {best}, price {best}) = 1"""
+
+
+@query(_merged("ASC"))
+def merge_stored_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an upsert writes for a dataset whose stored rows stay."""
+    return merge(*_halves(spark, sf_dir), ["l_orderkey", "l_linenumber"], "first")
+
+
+@query(_merged("DESC"))
+def merge_new_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an upsert writes for a dataset whose new rows win."""
+    return merge(*_halves(spark, sf_dir), ["l_orderkey", "l_linenumber"], "last")
+
+
+@query(f"SELECT exchange, instrument_type, symbol, epoch_us(time) AS us, {_DOUBLE_PRICES}, CASE WHEN symbol = 'A2' THEN 0 ELSE CAST(volume AS DOUBLE) END AS volume FROM bars WHERE symbol <> 'A3'", "ticks", "bars")
+def landed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles from answers in JSON, of which A3's lack their close and A2's their volume."""
+    rows = doubles(venue_bars(spark, sf_dir), *C.PRICES, "volume")
+    rows = rows.withColumns({"close": F.when(F.col("symbol") != "A3", F.col("close")), "volume": F.when(F.col("symbol") != "A2", F.col("volume"))})
+    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("time")).cast("double")
+    answer = F.to_json(F.array(F.array(ms, *C.PRICES, "volume")))
+    landed = land.land_candles(rows.select(*VENUE, F.lit("1h").alias("timeframe"), answer.alias("answer")))
+    return landed.select(*VENUE, F.unix_micros("time").alias("us"), *C.PRICES, "volume")
+
+
+@query("SELECT DISTINCT instrument_type, exchange AS venue, CASE trade_id % 3 WHEN 0 THEN 'trades' WHEN 1 THEN 'metrics' ELSE 'fundingRate' END AS data_type FROM ticks WHERE instrument_type = 'swap' OR trade_id % 3 = 0", "ticks")
+def offered_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the wanted datasets each market type offers."""
+    n = F.col("trade_id") % 3
+    kind = F.when(n == 0, "trades").when(n == 1, "metrics").otherwise("fundingRate")
+    wanted = ticks(spark, sf_dir).select("instrument_type", F.col("exchange").alias("venue"), kind.alias("data_type")).distinct()
+    return available(wanted, spark)
+
+
+@query("SELECT CAST(time AS DATE) AS date FROM ticks WHERE exchange = 'click' AND price > 200 UNION SELECT CAST(time AS DATE) FROM ticks WHERE exchange = 'view' AND price > 200", "ticks")
+def union_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: days on which either of two venues saw a dear trade."""
+    rows = ticks(spark, sf_dir).where("price > 200")
+    rows = rows.withColumn("date", utc_date(rows, "time"))
+    return intervals.union_days(rows.where("exchange = 'click'"), rows.where("exchange = 'view'"), ["date"])
+
+
+SQL["agg"] = f"SELECT instrument_type, symbol, time, {', '.join(f'{_round2(p)} AS {p}' for p in C.PRICES)}, {_round2('volume')} AS volume FROM (SELECT instrument_type, symbol, time, CAST(sum(volume) AS DOUBLE) AS volume, {_WEIGHTED} FROM bars GROUP BY instrument_type, symbol, time)"
+SQL["agg_merged"] = SQL["merged"].replace("FROM sparse", "FROM agg")
+SQL["agg_filled"] = SQL["filled"].replace("FROM merged", "FROM agg_merged")
+SQL["agg_rounded"] = SQL["rounded"].replace("FROM filled", "FROM agg_filled")
+SQL["agg_synthetic"] = SQL["synthetic"].replace("FROM rounded", "FROM agg_rounded")
+
+
+@query(_resampled("agg_synthetic", "make_timestamp(epoch_us(time) // 14400000000 * 14400000000)", "4h"), "ticks", "bars", "agg", "agg_merged", "agg_filled", "agg_rounded", "agg_synthetic")
+def regenerated_4h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain of the regeneration job: trades, venues, markets, coarser bars."""
+    venues = market.aggregate_exchanges(venue_bars(spark, sf_dir), asset="symbol", distinct=True)
+    merged = market.synthesize(venues)
+    return bars.resample(merged.drop("timeframe", "exchange", "instrument_type"), ["4h"], distinct=True)
+
+
 # --- columns --------------------------------------------------------------------------------------------------------------
 
 
