@@ -660,10 +660,10 @@ def sliding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT e.symbol, make_timestamp(epoch_us(CAST(e.day AS TIMESTAMP)) + x.m * 60000000) AS time, i.name AS interval, "
-    + ", ".join(f"round(r.{f}, 4) AS {f}" for f in _FIGURES)
-    + """ FROM day_ends e CROSS JOIN range(1440) x(m) CROSS JOIN (VALUES ('1m'), ('1h')) i(name)
-    LEFT JOIN rolled r ON r.symbol = e.symbol AND r.interval = i.name AND r.time = make_timestamp(epoch_us(CAST(e.day AS TIMESTAMP)) + x.m * 60000000) AND r.time <= e.last""",
+    "SELECT e.symbol, e.time, e.interval, "
+    + ", ".join(f"CASE WHEN e.time <= e.last THEN round(r.{f}, 4) END AS {f}" for f in _FIGURES)
+    + """ FROM (SELECT symbol, last, name AS interval, unnest(generate_series(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1439 MINUTE, INTERVAL 1 MINUTE)) AS time
+    FROM day_ends, (VALUES ('1m'), ('1h')) i(name)) e LEFT JOIN rolled r ON r.symbol = e.symbol AND r.interval = e.interval AND r.time = e.time""",
     *_SLIDING,
 )
 def sliding_features(spark: SparkSession, sf_dir: str) -> DataFrame:
