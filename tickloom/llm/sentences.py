@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Characters of text that are held as chunks at a time, chunks that a task remembers, chunks in a matrix, and the longest
+#: Characters of text that are held as chunks at a time, chunks that a worker remembers, chunks in a matrix, and the longest
 #: chunk that goes into one; longer ones are merged with a heap.
-SLICE, REMEMBERED, MATRIX, LONG = 1_000_000, 300_000, 8192, 48
+SLICE, REMEMBERED, MATRIX, LONG = 1_000_000, 500_000, 8192, 48
 #: What an unknown character costs below the worst piece, as in unigram models.
 UNKNOWN = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -154,8 +154,11 @@ class Pieces:
         while len(rows):
             at = pair.argmax(1) if pair.shape[1] else np.zeros(len(rows), int)
             going = pair[np.arange(len(rows)), at] > -np.inf if pair.shape[1] else np.zeros(len(rows), bool)
-            for i, b in zip(rows[~going].tolist(), bounds[~going].tolist(), strict=True):
-                out[i] = self._spelled(chunks[i], b)
+            ended, ends = rows[~going], bounds[~going]
+            ids = self._between(prefix, ended[:, None], ends[:, :-1], ends[:, 1:])
+            whole = (ids >= 0).all(1)
+            for i, b, x, known in zip(ended.tolist(), ends.tolist(), ids.tolist(), whole.tolist(), strict=True):
+                out[i] = x if known else self._spelled(chunks[i], b)
             rows, at, bounds, pair = rows[going], at[going], bounds[going], pair[going]
             if not len(rows):
                 break
@@ -275,6 +278,17 @@ class Encoder:
         return out
 
 
+#: The encoder of a worker process, by the model's path: tasks that follow each other share what it remembers.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(model: str, pieces: Pieces) -> Encoder:
+    if model not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model] = Encoder(pieces)
+    return _ENCODERS[model]
+
+
 def _slices(texts: list[str]) -> Iterator[slice]:
     begin = size = 0
     for i, x in enumerate(texts):
@@ -296,7 +310,7 @@ def encode(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_
     held = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
+        encoder = _encoder(model, held.value)
         for batch in batches:
             ids, texts = batch.column(0), [x or "" for x in batch.column(1).to_pylist()]
             for part in _slices(texts):
