@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import raw
@@ -279,17 +280,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     return out
 
 
+def _is_clean(held: Broadcast) -> Callable[[str], Column]:
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        keep = np.ones(len(texts), bool)
+        keep[sorted({t for t, *_ in _batches(held.value, raw(texts))})] = False
+        return pa.array(keep)
+
+    return clean
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", edits: float = EDITS, least_words: int = LEAST_WORDS) -> DataFrame:
     """Rows of `docs` that hold no item of the benchmark, with all their columns."""
     for sieve in sieves(benchmark, edits=edits, least_words=least_words):
-        held = docs.sparkSession.sparkContext.broadcast(sieve)
-
-        def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = raw(batch.column(batch.schema.get_field_index(text_column)))
-                keep = np.ones(len(texts), bool)
-                keep[sorted({t for t, *_ in _batches(held.value, texts)})] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.where(_is_clean(docs.sparkSession.sparkContext.broadcast(sieve))(text_column))
     return docs

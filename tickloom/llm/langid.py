@@ -6,12 +6,12 @@ at every place the longest known n-gram speaks, from four characters down to one
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, fields
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +19,7 @@ from tickloom.llm.common import remainder, written
 
 #: Labelled documents to learn from at most (in expectation, spread evenly over all by a hash of their id), words and
 #: n-grams that the model keeps at most, the longest n-gram, and the words whose scores a task remembers.
-LEARN_FROM, WORDS, GRAMS, LONGEST, REMEMBERED = 20_000, 200_000, 100_000, 4, 500_000
+LEARN_FROM, WORDS, GRAMS, LONGEST, REMEMBERED = 20_000, 60_000, 40_000, 4, 100_000
 #: A word scores with at least this many occurrences; fewer leave it to its n-grams.
 LEAST_SEEN, PRIOR = 2, 0.1
 #: Scores of a word and of a text's words are scaled so: the words of a text are not independent.
@@ -30,40 +30,69 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class LanguageModel:
-    """words and grams: log frequencies by language, in the order of `languages`."""
+    """Log frequencies of words and n-grams: a row each, a column for every language."""
 
     languages: list[str]
-    prior: list[float]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
-    unseen: tuple[float, ...]
-    cache: dict[str, tuple[float, ...]] = field(default_factory=dict)
-
-    def of_word(self, word: str) -> tuple[float, ...]:
-        """The word's own log frequencies, or those of its n-grams: the longest known one that ends at each place."""
-        known = self.words.get(word) or self.cache.get(word)
-        if known is None:
-            marked, sums = f"<{word}>", [0.0] * len(self.languages)
-            for end in range(2, len(marked) + 1):
-                found = next((g for n in range(min(LONGEST, end), 0, -1) if (g := self.grams.get(marked[end - n : end]))), self.unseen)
-                sums = [s + x for s, x in zip(sums, found, strict=True)]
-            known = tuple(x / (len(marked) - 1) for x in sums)
-            if len(self.cache) >= REMEMBERED:
-                self.cache.clear()
-            self.cache[word] = known
-        return known
+    prior: np.ndarray
+    words: list[str]
+    word_logs: np.ndarray
+    grams: list[str]
+    gram_logs: np.ndarray
+
+    def __getstate__(self) -> dict:
+        return {f.name: self.__dict__[f.name] for f in fields(self)}
+
+    def _prepare(self) -> None:
+        """Rows of known words, followed by room for words that n-grams spoke for."""
+        self._at = {w: i for i, w in enumerate(self.words)}
+        self._gram_at = {g: i for i, g in enumerate(self.grams)}
+        self._table = np.concatenate([self.word_logs, np.zeros((REMEMBERED, len(self.languages)))])
+
+    def of_grams(self, word: str) -> np.ndarray:
+        """The mean over the word's places of the longest known n-gram that ends there."""
+        marked, get = f"<{word}>", self._gram_at.get
+        found = []
+        for end in range(2, len(marked) + 1):
+            for n in range(min(LONGEST, end), 0, -1):
+                if (at := get(marked[end - n : end])) is not None:
+                    found.append(at)
+                    break
+        return self.gram_logs[found].sum(0) / (len(marked) - 1)
+
+    def _row(self, word: str) -> int:
+        at = self._at.get(word)
+        if at is None:
+            at = len(self._at)
+            self._table[at] = self.of_grams(word)
+            self._at[word] = at
+        return at
+
+    def of_word(self, word: str) -> np.ndarray:
+        if not hasattr(self, "_at"):
+            self._prepare()
+        self._make_room(1)
+        return self._table[self._row(word)]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its probability between 0 and 1); `und` and 0 without a letter or without a model."""
         counts = Counter(_LETTERS.findall(text.lower())) if text else Counter()
         if not self.languages or not any(map(str.isalpha, counts)):
             return UND, 0.0
-        scores = list(self.prior)
-        for word, n in counts.items():
-            for i, x in enumerate(self.of_word(word)):
-                scores[i] += TEMPER * n * x
-        best = max(range(len(scores)), key=scores.__getitem__)
-        return self.languages[best], 1.0 / sum(math.exp(max(-700.0, s - scores[best])) for s in scores)
+        if not hasattr(self, "_at"):
+            self._prepare()
+        scores, words = self.prior.copy(), list(counts)
+        n = np.fromiter(counts.values(), float, len(counts))
+        for at in range(0, len(words), REMEMBERED // 2):
+            part = slice(at, at + REMEMBERED // 2)
+            self._make_room(len(words[part]))
+            scores += TEMPER * (n[part] @ self._table[[self._row(w) for w in words[part]]])
+        best = int(scores.argmax())
+        return self.languages[best], float(1.0 / np.exp(np.maximum(scores - scores[best], -700.0)).sum())
+
+    def _make_room(self, n: int) -> None:
+        """Forgets the words that n-grams spoke for if `n` more might not fit."""
+        if len(self._at) + n > len(self._table):
+            self._at = {w: i for i, w in enumerate(self.words)}
 
 
 def words_of(text: Column) -> Column:
@@ -81,28 +110,33 @@ def fit(labelled: DataFrame, learn_from: int = LEARN_FROM, words: int = WORDS, g
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     languages = sorted(totals)
     if not languages:
-        return LanguageModel([], [], {}, {}, ())
+        return LanguageModel([], np.empty(0), [], np.empty((0, 0)), [], np.empty((0, 0)))
     marked = F.concat(F.lit("<"), "word", F.lit(">"))
     pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda k: F.when(
         F.length(marked) >= k, F.transform(F.sequence(F.lit(1), F.length(marked) - k + 1), lambda i: F.substring(marked, i, k))
     ).otherwise(F.array().cast("array<string>"))))
     gram_counts = counts.select("lang", "n", F.explode(pieces).alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
-    def most(frame: DataFrame, at_most: int, least: int) -> dict[str, dict[str, int]]:
-        """Counts by language of the most frequent keys."""
-        keys = frame.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return {r.word: r["by"] for r in keys.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(at_most).collect()}
-
-    def logs(table: dict[str, dict[str, int]], per_length: bool) -> dict[str, tuple[float, ...]]:
-        size, seen = Counter(), defaultdict(Counter)
-        for key, by in table.items():
-            size[len(key) if per_length else 0] += 1
-            seen[len(key) if per_length else 0].update(by)
-        of = lambda k, by, lang: math.log((by.get(lang, 0) + PRIOR) / (seen[k][lang] + PRIOR * (size[k] + 1)))
-        return {key: tuple(of(len(key) if per_length else 0, by, x) for x in languages) for key, by in table.items()}
-
+    def most(frame: DataFrame, at_most: int) -> tuple[list[str], np.ndarray]:
+        """The most frequent keys and their counts by language."""
+        by = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+        keys = frame.groupBy("word").agg(F.sum("n").alias("n"), *by).where(F.col("n") >= LEAST_SEEN)
+        top = keys.orderBy(F.desc("n"), "word").limit(at_most).toArrow()
+        return top.column("word").to_pylist(), np.stack([top.column(f"n{i}").to_numpy() for i in range(len(languages))], axis=1).astype(float)
+
+    def logs(seen: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Smoothed log frequencies within each group of keys."""
+        out = np.zeros(seen.shape)
+        for g in np.unique(group):
+            part = seen[group == g]
+            out[group == g] = np.log((part + PRIOR) / (part.sum(0) + PRIOR * (len(part) + 1)))
+        return out
+
+    known, seen = most(counts, words)
+    pieces_known, pieces_seen = most(gram_counts, grams)
     everything = sum(totals.values())
-    return LanguageModel(languages, [math.log(totals[x] / everything) for x in languages], logs(most(counts, words, LEAST_SEEN), False), logs(most(gram_counts, grams, LEAST_SEEN), True), (0.0,) * len(languages))
+    prior = np.log([totals[x] / everything for x in languages])
+    return LanguageModel(languages, prior, known, logs(seen, np.zeros(len(known))), pieces_known, logs(pieces_seen, np.array([len(g) for g in pieces_known])))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -139,9 +173,9 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     model = fit(docs.select("doc_id", "text", "lang"))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [held.value.predict(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            yield batch.filter(pa.array([lang != UND and score >= least_score for lang, score in found]))
+    @F.arrow_udf("boolean")
+    def told(texts: pa.Array) -> pa.Array:
+        found = [held.value.predict(x) for x in texts.to_pylist()]
+        return pa.array([lang != UND and score >= least_score for lang, score in found], pa.bool_())
 
-    return docs.mapInArrow(told, docs.schema)
+    return docs.where(told("text"))

@@ -44,7 +44,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(table(spark, sf_dir, "pages"))
+    return urls.filter_urls(table(spark, sf_dir, "pages")).withColumn("log_ratio", F.round("log_ratio", 6))
 
 
 #: What both turns of conversation -1 say: control strings of the template.
@@ -117,3 +117,71 @@ SELECT conv_id, count(*) AS n_turns,
        sum(upto) FILTER (role = 'assistant' OR place = n)::BIGINT AS formatted_chars
 FROM s GROUP BY conv_id
 """
+
+
+def _matches(kind: str) -> str:
+    pattern = secrets.PATTERNS[kind].replace("'", "''")
+    value = f"regexp_extract(m, '{pattern}', 2)" if kind == "assign" else "m"
+    rank = secrets.KINDS.index(kind) + 1 if kind in secrets.KINDS else 9
+    return f"""SELECT row, owner, '{kind}' AS kind, {rank} AS rank, upto - length(m) AS start, upto AS stop, {value} AS value FROM (
+        SELECT row, owner, ms[i] AS m, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + list_sum(list_transform(ms[1:i], lambda g: length(g))) AS BIGINT) AS upto FROM (
+        SELECT row, owner, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT row, owner, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gaps FROM d WHERE regexp_matches(text, '{pattern}'))))"""
+
+
+ORACLES["op4_secrets"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
+found AS ({' UNION ALL '.join(_matches(k) for k in secrets.PATTERNS)}),
+spans AS (SELECT * FROM found WHERE kind <> 'assign' OR length(value) >= {secrets.LEAST_ASSIGNED}),
+owned AS (SELECT value, count(DISTINCT owner) < {secrets.EXAMPLE_OWNERS} AS is_live FROM spans GROUP BY value),
+lived AS (SELECT DISTINCT row, stop - length(value) AS start, stop, is_live FROM spans JOIN owned USING (value)),
+every AS (SELECT row, kind, rank, start, stop FROM spans WHERE kind <> 'issued' UNION ALL SELECT row, 'live', 4, start, stop FROM lived WHERE is_live),
+lines AS (SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (kind <> 'live') AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, kind || ':' || start || ':' || stop) AS spans FROM every GROUP BY row),
+counts AS (SELECT row, count(*) FILTER (is_live) AS n_live, count(*) FILTER (NOT is_live) AS n_examples FROM lived GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_examples, 0) AS n_examples
+FROM d LEFT JOIN lines USING (row) LEFT JOIN counts USING (row)
+"""
+
+_GRAM_LENGTHS = urls.ORDER + 1
+_WEIGHTS = []
+for _k in range(2, _GRAM_LENGTHS + 1):
+    _WEIGHTS.append(f"""p{_k} AS (SELECT g.gram, (g.n_a + {urls.PRIOR} * s.p_a) / (c.n_a + {urls.PRIOR}) AS p_a, (g.n_r + {urls.PRIOR} * s.p_r) / (c.n_r + {urls.PRIOR}) AS p_r,
+    ln(s.p_a / s.p_r) + ln((c.n_r + {urls.PRIOR}) / (c.n_a + {urls.PRIOR})) AS shorter
+    FROM grams g JOIN grams c ON c.gram = g.gram[1:{_k - 1}] JOIN p{_k - 1} s ON s.gram = g.gram[2:{_k}] WHERE length(g.gram) = {_k})""")
+
+ORACLES["op9_urls"] = f"""
+WITH pages_ AS (SELECT row_number() OVER () AS row, page_id, url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+ruled AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM pages_),
+judged AS (SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS says,
+    chr(2) || coalesce(url, '') || chr(3) AS marked FROM ruled),
+rates AS (SELECT says, {urls.LEARN_FROM} / count(*) AS share FROM judged WHERE says IS NOT NULL GROUP BY says),
+sample AS (SELECT j.*, ('0x' || md5(coalesce(url, ''))[9:16])::BIGINT % {urls.HOLD_OUT} = 0 AS held_out FROM judged j JOIN rates USING (says)
+    WHERE ('0x' || md5(coalesce(url, ''))[1:8])::BIGINT / 4294967296 < share),
+places AS (SELECT row, marked, i, k FROM judged, range(1, {_GRAM_LENGTHS + 1}) r(k), LATERAL (SELECT unnest(range(1, length(marked) - k + 2)) AS i)),
+substrings AS (SELECT row, marked[i:i + k - 1] AS gram FROM places),
+grams AS (SELECT gram, CAST(count(*) FILTER (says = 'allow') AS DOUBLE) AS n_a, CAST(count(*) FILTER (says = 'block') AS DOUBLE) AS n_r
+    FROM substrings JOIN sample USING (row) WHERE NOT held_out GROUP BY gram),
+singles AS (SELECT * FROM grams WHERE length(gram) = 1 AND gram <> chr(2)),
+total AS (SELECT sum(n_a) AS a, sum(n_r) AS r, count(*) + 1 AS size FROM singles),
+unseen AS (SELECT ln((0.5 / (a + 0.5 * size)) / (0.5 / (r + 0.5 * size))) AS u FROM total),
+p1 AS (SELECT gram, (n_a + 0.5) / (a + 0.5 * size) AS p_a, (n_r + 0.5) / (r + 0.5 * size) AS p_r, u AS shorter FROM singles, total, unseen),
+{', '.join(_WEIGHTS)},
+weights AS (SELECT gram, sum(w) AS w FROM (
+    SELECT gram, CASE WHEN ends_with(gram, chr(3)) THEN 0 ELSE ln((n_r + {urls.PRIOR}) / (n_a + {urls.PRIOR})) END AS w FROM grams WHERE length(gram) <= {urls.ORDER}
+    {' '.join(f'UNION ALL SELECT gram, ln(p_a / p_r) - shorter FROM p{k}' for k in range(1, _GRAM_LENGTHS + 1))}) GROUP BY gram),
+ratios AS (SELECT j.row, (coalesce(sum(w), 0) + any_value(u) * (length(j.marked) - 1)) / (length(j.marked) - 1) AS ratio
+    FROM judged j CROSS JOIN unseen LEFT JOIN substrings s ON s.row = j.row LEFT JOIN weights USING (gram) GROUP BY j.row, j.marked),
+stats AS (SELECT says, avg(ratio) AS mean, stddev_pop(ratio) AS sd FROM ratios JOIN sample USING (row) WHERE held_out GROUP BY says),
+threshold AS (SELECT (a.mean * r.sd + r.mean * a.sd) / (a.sd + r.sd) AS t FROM stats a, stats r WHERE a.says = 'allow' AND r.says = 'block')
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN ratio >= t THEN 'allow' ELSE 'block' END) AS verdict, round(ratio, 6) AS log_ratio
+FROM judged JOIN ratios USING (row), threshold
+"""

@@ -51,6 +51,11 @@ def _substrings(text: Column, longest: int) -> Column:
     return F.concat(*(F.when(F.length(text) >= k, of(k)).otherwise(F.array().cast("array<string>")) for k in range(1, longest + 1)))
 
 
+def _digits(url: str, at: int) -> Column:
+    """A number below 2^32 from eight hex digits of the URL's hash."""
+    return F.conv(F.substring(F.md5(F.coalesce(url, F.lit(""))), at, 8), 16, 10).cast("long")
+
+
 def _marked(url: str) -> Column:
     return F.concat(F.lit(BEGIN), F.coalesce(url, F.lit("")), F.lit(FINISH))
 
@@ -83,9 +88,9 @@ def fit(labelled: DataFrame, order: int = ORDER, prior: float = PRIOR, learn_fro
     counts = {r.verdict: r.n for r in labelled.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
     if not counts.get("allow") or not counts.get("block"):
         return None
-    draw = F.pmod(F.xxhash64("url", F.lit(1)), F.lit(1_000_000)) / 1e6
+    draw = _digits("url", 1) / float(1 << 32)
     share = F.when(F.col("verdict") == "allow", learn_from / counts["allow"]).otherwise(learn_from / counts["block"])
-    chosen = written(labelled.where(draw < share).select("url", "verdict", (F.pmod(F.xxhash64("url", F.lit(2)), F.lit(HOLD_OUT)) == 0).alias("held_out")), "url-sample")
+    chosen = written(labelled.where(draw < share).select("url", "verdict", (_digits("url", 9) % HOLD_OUT == 0).alias("held_out")), "url-sample")
     seen = chosen.where(~F.col("held_out")).select("verdict", F.explode(_substrings(_marked("url"), order + 1)).alias("gram"))
     n = lambda verdict: F.count(F.when(F.col("verdict") == verdict, 1)).cast("double")
     grams = written(seen.groupBy("gram").agg(n("allow").alias("n_a"), n("block").alias("n_r")), "url-grams")
