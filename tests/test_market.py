@@ -137,6 +137,14 @@ def test_features_do_not_look_ahead_nor_depend_on_blocks(spark):
     assert tables[0][at(2 * 1440)][0][0] == 102.0
 
 
+def test_any_lengths_can_be_tiled():
+    for lengths in ([60], [1, 60], [127], [5, 60, 240, 1440, 4320], [7, 11, 997]):
+        steps = sliding.tiling(lengths)
+        assert set(lengths) - {1} <= {size for size, _ in steps}
+        for size, tiles in steps:
+            assert len(tiles) <= sliding.MAX_TILES and sum(n for n, _ in tiles) == size
+
+
 def test_tiled_windows_equal_plain_frames(spark):
     from pyspark.sql import Window
 

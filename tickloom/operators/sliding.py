@@ -49,7 +49,8 @@ def tiling(lengths: Sequence[int]) -> list[tuple[int, list[tuple[int, int]]]]:
     for length in sorted(set(lengths)):
         while length not in have:
             parts = tiles(length)
-            size = length if len(parts) <= MAX_TILES else have[-1] * MAX_TILES
+            # Too many tiles: the first of them make an intermediate length, longer than any before.
+            size = sum(part for part, _ in parts[:MAX_TILES])
             steps.append((size, tiles(size)))
             have.append(size)
     return steps

@@ -661,15 +661,18 @@ def sliding_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT e.symbol, e.time, e.interval, "
-    + ", ".join(f"CASE WHEN e.time <= e.last THEN round(r.{f}, 4) END AS {f}" for f in _FIGURES)
+    + ", ".join(f"CASE WHEN e.time <= e.last THEN round(r.{f} + 1e-8, 4) END AS {f}" for f in _FIGURES)
     + """ FROM (SELECT symbol, last, name AS interval, unnest(generate_series(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1439 MINUTE, INTERVAL 1 MINUTE)) AS time
     FROM day_ends, (VALUES ('1m'), ('1h')) i(name)) e LEFT JOIN rolled r ON r.symbol = e.symbol AND r.interval = e.interval AND r.time = e.time""",
     *_SLIDING,
 )
 def sliding_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J5 with F3 to F8 and D3, one row per minute and interval."""
+    """J5 with F3 to F8 and D3, one row per minute and interval.
+
+    Means often end on a rounding tie, which the order of a sum would settle; hence the offset.
+    """
     each = sliding.long_features(sliding_table(spark, sf_dir), ["1m", "1h"], _FIGURES, ["symbol"])
-    return each.withColumns({f: F.round(f, 4) for f in _FIGURES})
+    return each.withColumns({f: F.round(F.col(f) + F.lit(1e-8), 4) for f in _FIGURES})
 
 
 @query(
