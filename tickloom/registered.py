@@ -101,8 +101,8 @@ def covered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of up to sixty days for every hundredth of the orders, by what their customer spent."""
-    orders = load(spark, sf_dir, "orders").where(F.floor("o_totalprice") % 100 == 7)
+    """A range of one to sixty days from every order."""
+    orders = load(spark, sf_dir, "orders")
     end = F.timestamp_add("DAY", (F.col("o_orderkey") % 60 + 1).cast("int"), F.col("o_orderdate"))
     return orders.select((F.col("o_custkey") % 20).alias("symbol"), F.col("o_orderdate").alias("start_ts"), end.alias("end_ts"))
 
@@ -151,7 +151,7 @@ SQL = {
         CAST(sum(CAST(l_quantity AS DECIMAL(9,0))) AS DECIMAL(9,0)) AS volume
         FROM lineitem GROUP BY 1, 2))""",
     "covered": "SELECT o_custkey % 20 AS symbol, o_orderdate AS start_ts, o_orderdate + to_days(CAST(o_orderkey % 3 + 1 AS INTEGER)) AS end_ts FROM orders",
-    "requests": "SELECT DISTINCT o_custkey % 20 AS symbol, o_orderdate AS start_ts, o_orderdate + to_days(CAST(o_orderkey % 60 + 1 AS INTEGER)) AS end_ts FROM orders WHERE CAST(floor(o_totalprice) AS BIGINT) % 100 = 7",
+    "requests": "SELECT DISTINCT o_custkey % 20 AS symbol, o_orderdate AS start_ts, o_orderdate + to_days(CAST(o_orderkey % 60 + 1 AS INTEGER)) AS end_ts FROM orders",
     "islands": """SELECT symbol, min(start_ts) AS start_ts, max(end_ts) AS end_ts FROM (
         SELECT *, sum(opens) OVER (PARTITION BY symbol ORDER BY start_ts, end_ts ROWS UNBOUNDED PRECEDING) AS island FROM (
         SELECT *, CASE WHEN start_ts <= max(end_ts) OVER (PARTITION BY symbol ORDER BY start_ts, end_ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens
