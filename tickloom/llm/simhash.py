@@ -178,15 +178,19 @@ def _first(*columns: str) -> Column:
 
 
 def _met(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b): each class and the least one in a bucket where both fell, for all tables."""
+    """Candidate pairs (a, b): each class and the least of its own fingerprint, and the leasts of different fingerprints
+    with the least one in a bucket where both fell, for all tables."""
     wide = F.element_at("print", (F.col("table") / 2).cast("int") + 1)
     half = F.when(F.col("table") % 2 == 0, wide.bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned(wide, 32))
     tables = classes.select("class", "print", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("table")).select("class", "table", half.alias("value"))
+    tables = written(tables, "tables")
+    folded = written(tables.groupBy("table", "value").agg(F.min("class").alias("least")), "folded")
+    equal = tables.join(folded, ["table", "value"]).where("class != least").select(F.col("least").alias("a"), F.col("class").alias("b"))
     tag = F.shiftleft(F.col("table").cast("long"), 32)
     ball = F.transform(_masks([0, *(1 << i for i in range(32))]), lambda m: F.col("value").bitwiseXOR(m).bitwiseOR(tag))
-    met = tables.select("class", F.explode(ball).alias("key"))
+    met = folded.select(F.col("least").alias("class"), F.explode(ball).alias("key"))
     met = met.select("class", F.min("class").over(Window.partitionBy("key")).alias("least")).where("class != least")
-    return met.distinct().select(F.col("least").alias("a"), F.col("class").alias("b"))
+    return equal.unionByName(met.select(F.col("least").alias("a"), F.col("class").alias("b"))).distinct()
 
 
 def _differing(a: str, b: str) -> Column:
