@@ -136,6 +136,29 @@ def test_near_duplicates_are_found_and_others_left(spark):
     assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == sorted(set(root))
 
 
+def near_groups(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = {r.doc_id: r.group for r in simhash.near_duplicate_groups(df).collect()}
+    sets = [set(zip(*(w.split()[k:] for k in range(5)))) for w in texts]
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if (n := len(sets[a] & sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    return groups, pairs
+
+
+@pytest.mark.parametrize("copies", [50, 500])
+def test_copies_that_are_like_the_original_alone_all_join_it(spark, copies):
+    rng = np.random.default_rng(copies)
+    original = ["w" + str(i) for i in rng.integers(0, 3000, 200)]
+    texts = []
+    for i in range(copies):
+        new = list(original)
+        for k, at in enumerate(rng.choice(np.arange(10, 190, 8), 4, replace=False)):
+            new[at] = f"own{i}x{k}"
+        texts.append(" ".join(new))
+    groups, pairs = near_groups(spark, [*texts, " ".join(original)])
+    assert len(set(roots(copies + 1, pairs))) == 1 and len(pairs) < 3 * copies * math.sqrt(copies)
+    assert len(set(groups.values())) == 1
+
+
 # --- 2 ---
 
 

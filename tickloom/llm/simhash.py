@@ -131,45 +131,96 @@ def simhash_components(docs: DataFrame, size: int = 3, id_column: str = "doc_id"
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies")
 
 
-#: Near-duplicate documents: words in a shingle of the fingerprint and of the comparison, the least Jaccard similarity,
-#: and the tables of 32-bit fingerprints, of which radius-1 balls meet at distances up to two.
-PRINT_WORDS, COMPARED_WORDS, SIMILAR, TABLES = 3, 5, 0.8, 10
-#: Most differing bits, as a part, of what is compared at all; similar texts differ in about a tenth.
-FAR = 0.2
+#: Near-duplicate documents: words in a shingle of the comparison, and the least Jaccard similarity.
+COMPARED_WORDS, SIMILAR = 5, 0.8
+#: Documents whose shingles tell which are common, in expectation, how often such a shingle occurs in them, and the most
+#: that travel with the tasks. They order the shingles, nothing else: results are the same with any order.
+ORDER_FROM, COMMON_SEEN, COMMON = 20_000, 3, 200_000
 #: Buckets by which documents that no pair needs are left out of a join; a broadcast of so many numbers at most.
 BUCKETS = 1 << 20
-
-
-def _mixed(hashes: np.ndarray, words: int) -> np.ndarray:
-    """`words` hashes of 64 bits from each one."""
-    x = hashes[:, None] + np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_REMEMBERED = 200_000
 
 
 def text_key(text_column: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
 
 
-def _long_prints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, text_key, same, print): a hash of each text's words, equal for exact copies, and TABLES x 32 bits."""
-    wide = TABLES // 2
+class _Shingles:
+    """The distinct hashes of a text's runs of COMPARED_WORDS words; of all its words if there are fewer."""
+
+    def __init__(self) -> None:
+        self.seen: dict[bytes, int] = {}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        seen, get = self.seen, self.seen.get
+        if len(seen) > _REMEMBERED:
+            seen.clear()
+        of = np.empty(len(words), np.uint64)
+        for i, w in enumerate(words):
+            h = get(w)
+            if h is None:
+                h = seen[w] = xxhash.xxh64_intdigest(w, SEED)
+            of[i] = h
+        size = min(COMPARED_WORDS, len(words))
+        key = np.full(len(words) - size + 1 if size else 0, size, np.uint64)
+        for k in range(size):
+            key = (key ^ of[k : k + len(key)]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        return np.unique(key.view(np.int64))
+
+
+def _common(docs: DataFrame, text_column: str) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in order, how often each was seen) of the commonest shingles in a part of the documents."""
+    n = docs.count()
+    draw = F.pmod(F.xxhash64(text_column, F.lit("order")), F.lit(1 << 30))
+    some = docs.where(draw < int((1 << 30) * ORDER_FROM / n)) if n > ORDER_FROM else docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = _Shingles()
         for batch in batches:
-            same, prints = [], []
+            for text in set(raw(batch.column(0))):
+                yield pa.RecordBatch.from_pydict({"token": shingles(text.lower().split())})
+
+    tokens = some.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "token long")
+    top = tokens.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_SEEN).orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
+    token, seen = top.column("token").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.int64)
+    order = np.argsort(token)
+    return token[order], seen[order]
+
+
+def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first of the shingles in the order that all texts share, rare ones first: so many that two similar texts have
+    one of them in common."""
+    token, seen = common
+    rank = np.zeros(len(shingles), np.int64)
+    if len(token):
+        at = np.minimum(np.searchsorted(token, shingles), len(token) - 1)
+        rank = np.where(token[at] == shingles, seen[at], 0)
+    keep = len(shingles) - int(np.ceil(SIMILAR * len(shingles) - 1e-9)) + 1 if len(shingles) else 0
+    return shingles[np.lexsort((shingles, rank))[:keep]]
+
+
+def _prefixes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, text_key, same, size, prefix): a hash of each text's words, equal for exact copies, how many shingles it
+    has, and the first of them."""
+    held = docs.sparkSession.sparkContext.broadcast(_common(docs, text_column))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, common = _Shingles(), held.value
+        for batch in batches:
+            same, sizes, firsts = [], [], [np.empty(0, np.int64)]
             for text in raw(batch.column(2)):
                 words = text.lower().split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                hashes = shingle_hashes(words, PRINT_WORDS)
-                bits = majority(_mixed(hashes, wide)) if len(hashes) else np.zeros(64 * wide, bool)
-                prints.append(np.packbits(bits, bitorder="little").view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * wide, pa.int32()), pa.array(np.concatenate(prints)))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "print": lists})
+                found = shingles(words)
+                sizes.append(len(found))
+                firsts.append(prefix(found, common))
+            at = np.cumsum([len(x) for x in firsts])
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(firsts)))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "size": pa.array(sizes, pa.int32()), "prefix": lists})
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("text_key"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, print array<long>")
+    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, size int, prefix array<long>")
 
 
 def _first(*columns: str) -> Column:
@@ -177,33 +228,53 @@ def _first(*columns: str) -> Column:
     return F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), *columns))
 
 
-def _met(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b): each class and the least of its own fingerprint, and the leasts of different fingerprints
-    with the least one in a bucket where both fell, for all tables."""
-    wide = F.element_at("print", (F.col("table") / 2).cast("int") + 1)
-    half = F.when(F.col("table") % 2 == 0, wide.bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned(wide, 32))
-    tables = classes.select("class", "print", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("table")).select("class", "table", half.alias("value"))
-    tables = written(tables, "tables")
-    folded = written(tables.groupBy("table", "value").agg(F.min("class").alias("least")), "folded")
-    equal = tables.join(folded, ["table", "value"]).where("class != least").select(F.col("least").alias("a"), F.col("class").alias("b"))
-    tag = F.shiftleft(F.col("table").cast("long"), 32)
-    ball = F.transform(_masks([0, *(1 << i for i in range(32))]), lambda m: F.col("value").bitwiseXOR(m).bitwiseOR(tag))
-    met = folded.select(F.col("least").alias("class"), F.explode(ball).alias("key"))
-    met = met.select("class", F.min("class").over(Window.partitionBy("key")).alias("least")).where("class != least")
-    return equal.unionByName(met.select(F.col("least").alias("a"), F.col("class").alias("b"))).distinct()
+def _shared(classes: DataFrame) -> DataFrame:
+    """(token, class, size, at, weight): the places of the prefixes' shingles that several classes have; weight is how
+    many a class meets over all its places."""
+    every = classes.select("class", "size", F.posexplode("prefix").alias("at", "token"))
+    met = every.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1")
+    met = written(met.select("token", "class", "size", "at", "n"), "met")
+    weights = written(met.groupBy("class").agg(F.sum("n").alias("weight")), "weights")
+    return written(met.drop("n").join(weights, "class").select("token", "class", "size", "at", "weight"), "shared")
+
+
+def _may_be_similar(a: str, b: str) -> Column:
+    """False for pairs that a shared shingle shows to be unlike, by the sizes and by its places among all shingles."""
+    x, y, i, j = (F.col(f"{side}.{c}") for c in ("size", "at") for side in (a, b))
+    most = F.least(i, j) + 1 + F.least(x - i, y - j) - 1
+    return (F.least(x, y) >= SIMILAR * F.greatest(x, y) - 1e-9) & (most >= SIMILAR / (1 + SIMILAR) * (x + y) - 1e-9)
 
 
-def _differing(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def _to_heaviest(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class with the one of a shingle's classes that meets most: what copies were made from has all
+    of its shingles in common with some of them, while copies have shingles of their own."""
+    heavy = shared.groupBy("token").agg(F.max(F.struct("weight", "class", "size", "at")).alias("h")).select("token", "h.*")
+    pairs = shared.alias("x").join(written(heavy, "heavy").alias("y"), "token").where((F.col("x.class") != F.col("y.class")) & _may_be_similar("x", "y"))
+    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+
+
+def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different groups that share a shingle and may be similar. Pairs within a group are not even
+    listed: a shingle's groups are paired first, then their classes."""
+    rooted = shared.drop("weight").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rooted = written(rooted, "rooted")
+    several = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
+    rooted = written(rooted.join(several, "token"), "apart")
+    groups = written(rooted.select("token", "root").distinct(), "groups")
+    both = groups.select("token", F.col("root").alias("x")).join(groups.select("token", F.col("root").alias("y")), "token").where("x < y")
+    side = lambda r: rooted.select("token", F.col("root").alias(r), F.struct("class", "size", "at").alias(f"of_{r}"))
+    pairs = both.join(side("x"), ["token", "x"]).join(side("y"), ["token", "y"]).where(_may_be_similar("of_x", "of_y"))
+    return pairs.select(F.least("of_x.class", "of_y.class").alias("a"), F.greatest("of_x.class", "of_y.class").alias("b")).distinct()
 
 
 def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
     """(class, shingles): the distinct shingle hashes that the comparison takes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = _Shingles()
         for batch in batches:
-            found = [np.unique(shingle_hashes(x.lower().split(), COMPARED_WORDS)).view(np.int64) for x in raw(batch.column(1))]
-            at = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+            found = [np.empty(0, np.int64), *(shingles(x.lower().split()) for x in raw(batch.column(1)))]
+            at = np.cumsum([len(x) for x in found])
             yield pa.RecordBatch.from_pydict({"class": batch.column(0), "shingles": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(found)))})
 
     return docs.select("class", F.col(text_column).cast("string").alias("text")).mapInArrow(run, "class long, shingles array<long>")
@@ -220,35 +291,28 @@ def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, group, stays): one row for each row of `docs`; rows of a group are copies or near copies.
 
-    Exact copies, by their words, are folded into a class first. Classes meet where 32-bit fingerprints of one of several
-    tables lie within two bits of each other; each is paired with the least it meets, not with all. Of these pairs the
-    closest of every class is compared by its five-word shingles first, and further pairs only where they would join two
-    groups. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text all are
-    marked alike. Texts without words are copies of each other.
+    Exact copies, by their words, are folded into a class first. Two classes whose five-word shingles reach the least
+    similarity share one of their first shingles, in any order that all classes follow; so nothing similar is missed.
+    For each such shingle all classes are compared with one of them first; then all pairs are compared that are not in one
+    group by then. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text
+    all are marked alike. Texts without words are copies of each other.
     """
-    prints = written(_long_prints(docs, id_column, text_column), "long-prints")
-    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first("print").alias("print"))
-    classes = written(classes.withColumn("class", F.monotonically_increasing_id()).select("class", "same", "first", "print"), "classes")
-    of = lambda c: classes.select(F.col("class").alias(c), F.col("print").alias(f"of_{c}"))
-    pairs = written(_met(classes), "pairs").join(of("a"), "a").join(of("b"), "b")
-    far = _differing("of_a", "of_b")
-    pairs = written(pairs.select("a", "b", far.alias("far")).where(F.col("far") <= int(TABLES * 32 * FAR)), "near-pairs")
-
-    ends = written(pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct(), "ends")
-    wanted = classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k"))
+    prints = written(_prefixes(docs, id_column, text_column), "prefixes")
+    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("size", "prefix")).alias("print"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("class"), "same", "first", "print.*"), "classes")
+    shared = _shared(classes)
+
+    ends = shared.select("class").distinct()
+    wanted = written(classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k")), "ends")
     bucket = lambda c: F.pmod(c, F.lit(BUCKETS))
     few = docs.select(F.col(id_column).cast("long").alias("_i"), text_key(text_column).alias("_t"), F.col(text_column).alias("text"))
     few = few.withColumn("_b", bucket(F.col("_t"))).join(F.broadcast(wanted.select(bucket(F.col("_k")).alias("_b")).distinct()), "_b", "left_semi")
     texts = few.join(wanted, (F.col("_t") == F.col("_k")) & F.col("_i").eqNullSafe(F.col("_d"))).select("class", "text")
     shingles = written(_shingles(texts, "text").dropDuplicates(["class"]), "shingles")
 
-    closest = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    links = written(_similar(closest, shingles), "links")
-    roots = components(links)
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    rest = pairs.select("a", "b").join(closest, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
-    rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    roots = components(links.unionByName(_similar(written(rest, "open-pairs"), shingles)))
+    links = written(_similar(written(_to_heaviest(shared), "pairs"), shingles), "links")
+    rest = written(_across(shared, components(links)), "open-pairs")
+    roots = components(links.unionByName(written(_similar(rest, shingles), "more-links")))
     grouped = written(classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "same", "first", F.coalesce("root", "class").alias("group")), "grouped")
     firsts = written(grouped.groupBy("group").agg(F.min("first").alias("stays")), "firsts")
     named = written(grouped.select("same", "group").join(firsts, "group"), "named")
