@@ -186,6 +186,24 @@ def test_leaks_with_edits_are_found_and_clean_texts_left(spark):
     assert {r.doc_id for r in decontaminate.drop_leaks(frame, bench).collect()} == {d for d, _ in docs} - {d for d, _ in found}
 
 
+def test_leaks_of_short_unspaced_and_nameless_items(spark):
+    chinese = "人工智能的发展改变了我们的生活方式和工作习惯"
+    thai = "ประเทศไทยมีอาหารอร่อยมาก"
+    nameless = "an item that nobody has given any name at all"
+    bench = spark.createDataFrame([(1, chinese), (2, thai), (3, "forty two"), (None, nameless), (4, "..."), (5, "Kyoto")], "item_id long, text string")
+    docs = [
+        (1, "这里说：" + chinese + "。再见"), (2, "这里" + chinese[:7] + "很快" + chinese[8:]), (3, "abc" + thai), (4, "The answer is Forty-two."),
+        (5, "we saw: " + nameless), (6, "forty and two 发展"), (7, "kyoto"), (8, "tokyo kyotos"), (9, None),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.edits, r.first_word) for r in decontaminate.find_leaks(frame, bench).collect()}
+    assert {(d, i) for d, i, *_ in found} == {(1, 1), (2, 1), (3, 2), (4, 3), (5, None), (7, 5)}
+    assert {(1, 1, 0, 3), (4, 3, 0, 3), (7, 5, 0, 0)} <= found
+    assert {r.doc_id for r in decontaminate.drop_leaks(frame, bench).collect()} == {6, 8, 9}
+    only_short = spark.createDataFrame([(3, "forty two")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.find_leaks(frame, only_short).collect()] == [4]
+
+
 def test_edit_distances():
     items = np.array([[1, 2, 3, 4]] * 3, np.int32)
     windows = np.array([[9, 1, 2, 3, 4, 9], [1, 2, 9, 3, 4, 9], [9, 9, 9, 9, 9, 9]], np.int32)

@@ -9,6 +9,7 @@ match an item of their size; an exact edit distance decides.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import raw
 
-#: Edits allowed, as a part of an item's words; items of fewer words say too little to be looked for.
+#: Edits allowed, as a part of an item's words; items of fewer words are looked for word by word.
 EDITS, LEAST_WORDS = 0.2, 5
 #: Steps of the walk for each word, places sampled in a repetition, the recall that repetitions are chosen for, and the
 #: trials that tell how far edits drive embeddings apart.
@@ -31,10 +32,21 @@ RARE = (1, 3, 10, 30)
 #: Characters of the benchmark that travel with the tasks at a time, and words of text that a task looks at together.
 BLOCK_CHARS, SLICE_WORDS = 4_000_000, 1_500_000
 _WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
+#: First bytes of characters from U+0800; characters of scripts that have no blanks between words (Thai, Lao, Tibetan,
+#: Myanmar, Khmer, Tai scripts, Javanese, kana, Han); punctuation of those scripts.
+_HIGH = re.compile(rb"[\xe0-\xf4]")
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3040-\u30ff\u3100-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua980-\ua9ff\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_WIDE_BLANKS = dict.fromkeys([*range(0x3000, 0x3005), *range(0x3008, 0x3031), 0x30FB, *range(0xFF01, 0xFF10), *range(0xFF1A, 0xFF21), *range(0xFF3B, 0xFF41), *range(0xFF5B, 0xFF66)], " ")
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Words of ASCII letters and digits, in lower case, and of all other characters beyond ASCII."""
+    """Words of ASCII letters and digits, in lower case, and of all other characters beyond ASCII.
+
+    Scripts that are written without blanks have a word for each character.
+    """
+    if _HIGH.search(text):
+        spread = _UNSPACED.sub(r" \g<0> ", text.decode("utf-8", "surrogateescape").translate(_WIDE_BLANKS))
+        text = spread.encode("utf-8", "surrogateescape")
     return text.translate(_WORD_BYTES).split()
 
 
@@ -103,12 +115,13 @@ def repetitions(items: list[np.ndarray], symbols: int, edits: float, recall: flo
 class Sieve:
     """Distinct items of one benchmark block.
 
-    ids: the items' ids, several where texts repeat. rare_*: for each word the items in which it is rare, as offsets into
+    ids: the items' ids, several where texts repeat. short: by how many words they have, the items of too few words to
+    allow edits, with their ids. rare_*: for each word the items in which it is rare, as offsets into
     one array. need: rare words of an item that survive all allowed edits; of `open_items` no word is rare enough to need.
     """
 
     vocabulary: dict[bytes, int]
-    ids: list[list[int]]
+    ids: list[list[int | None]]
     items: list[np.ndarray]
     edits: float
     rare_at: np.ndarray
@@ -117,15 +130,20 @@ class Sieve:
     earliest: np.ndarray
     latest: np.ndarray
     reps: int
+    short: dict[int, dict[tuple[int, ...], list[int | None]]]
 
     def __post_init__(self) -> None:
         self.lengths = np.array([len(x) for x in self.items])
         self.slack = np.array([allowed(int(n), self.edits) for n in self.lengths])
         self.open_items = np.nonzero(self.need < 1)[0]
         self.of_length = {int(n): np.nonzero(self.lengths == n)[0] for n in np.unique(self.lengths)}
+        self.longest = max([0, *self.lengths.tolist()])
+        self.short_keys = {n: _keys_of(np.array(list(held), np.int32).reshape(-1), np.arange(len(held)) * n, n) for n, held in self.short.items()}
+        self.places, self.keys = {}, {}
+        if not self.items:
+            return
         symbols = len(self.vocabulary) + 1
         self.walks = np.stack([_bits(r, STRETCH * int(self.lengths.max()), symbols) for r in range(self.reps)])
-        self.places, self.keys = {}, {}
         for length, group in self.of_length.items():
             rng, flat = np.random.default_rng(length), np.concatenate([self.items[i] for i in group])
             self.places[length] = rng.integers(0, STRETCH * length, (self.reps, SAMPLED))
@@ -142,16 +160,27 @@ class Sieve:
         return keys
 
 
-def build(texts: list[tuple[int, bytes]], edits: float = EDITS, least_words: int = LEAST_WORDS) -> Sieve | None:
-    """The sieve of (item_id, text); None if no item is long enough."""
-    by_words: dict[tuple[bytes, ...], list[int]] = defaultdict(list)
+def _keys_of(flat: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    keys = np.zeros(len(start), np.uint64)
+    for k in range(length):
+        keys = _add(keys, flat[start + k])
+    return keys
+
+
+def build(texts: list[tuple[int | None, bytes]], edits: float = EDITS, least_words: int = LEAST_WORDS) -> Sieve | None:
+    """The sieve of (item_id, text); None if no item has a word."""
+    by_words: dict[tuple[bytes, ...], list[int | None]] = defaultdict(list)
+    few_words: dict[tuple[bytes, ...], list[int | None]] = defaultdict(list)
     for i, text in texts:
-        if len(words := words_of(text)) >= least_words:
-            by_words[tuple(words)].append(i)
-    if not by_words:
+        if words := words_of(text):
+            (by_words if len(words) >= least_words else few_words)[tuple(words)].append(i)
+    if not by_words and not few_words:
         return None
     vocabulary: dict[bytes, int] = {}
     items = [np.array([vocabulary.setdefault(x, len(vocabulary) + 1) for x in words], np.int32) for words in by_words]
+    short: dict[int, dict[tuple[int, ...], list[int | None]]] = defaultdict(dict)
+    for words, ids in few_words.items():
+        short[len(words)][tuple(vocabulary.setdefault(x, len(vocabulary) + 1) for x in words)] = ids
     spread = Counter(w for x in items for w in set(x.tolist()))
     rare, need, earliest, latest = defaultdict(list), [], [], []
     for i, x in enumerate(items):
@@ -165,8 +194,8 @@ def build(texts: list[tuple[int, bytes]], edits: float = EDITS, least_words: int
     held = [rare.get(w, []) for w in range(len(vocabulary) + 1)]
     offsets = np.concatenate([[0], np.cumsum([len(h) for h in held])])
     flat = np.array([i for h in held for i in h], np.int64)
-    reps = repetitions(items, len(vocabulary) + 1, edits)
-    return Sieve(vocabulary, list(by_words.values()), items, edits, offsets, flat, np.array(need), np.array(earliest), np.array(latest), reps)
+    reps = repetitions(items, len(vocabulary) + 1, edits) if items else 0
+    return Sieve(vocabulary, list(by_words.values()), items, edits, offsets, flat, np.array(need), np.array(earliest), np.array(latest), reps, dict(short))
 
 
 def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
@@ -177,6 +206,8 @@ def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
     foreign to the benchmark than edits are allowed.
     """
     starts: dict[int, list[np.ndarray]] = defaultdict(list)
+    if not sieve.items:
+        return {}
     known = np.maximum(flat, 0)
     n_items = sieve.rare_at[known + 1] - sieve.rare_at[known]
     at = np.nonzero(n_items)[0]
@@ -199,12 +230,27 @@ def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
     return {n: (s := np.unique(np.concatenate(x)))[(s >= longest) & (s < len(flat) - 2 * longest)] for n, x in starts.items()}
 
 
-def find(sieve: Sieve, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+def _exact(sieve: Sieve, flat: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int | None, int, int, int]]:
+    """(text, item_id, 0, first word, words of the item) for the items of few words, at the first place in a text."""
+    for length, held in sieve.short.items():
+        keys = _keys_of(flat, np.arange(len(flat) - length + 1), length)
+        at = np.nonzero(np.isin(keys, sieve.short_keys[length]))[0]
+        texts = np.searchsorted(begins, at, "right") - 1
+        order = np.lexsort((at, keys[at], texts))
+        at, texts = at[order], texts[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (keys[at][1:] != keys[at][:-1]) | (texts[1:] != texts[:-1])
+        for t, p in zip(texts[new].tolist(), at[new].tolist(), strict=True):
+            for i in held.get(tuple(flat[p : p + length].tolist()), ()):
+                yield t, i, 0, p - int(begins[t]), length
+
+
+def find(sieve: Sieve, texts: list[np.ndarray]) -> list[tuple[int, int | None, int, int, int]]:
     """(text, item_id, edits, first word, words of the item) for every item found in a text, at its best place.
 
     Texts are their words' numbers in the sieve's vocabulary, 0 for words that it lacks.
     """
-    gap = np.full(3 * int(sieve.lengths.max()), -1, np.int32)
+    gap = np.full(3 * max(sieve.longest, 1), -1, np.int32)
     sizes = np.array([len(x) for x in texts])
     begins = np.cumsum(sizes + len(gap)) - sizes
     flat = np.concatenate([gap, *(y for x in texts for y in (x, gap))])
@@ -226,7 +272,8 @@ def find(sieve: Sieve, texts: list[np.ndarray]) -> list[tuple[int, int, int, int
                     text = int(np.searchsorted(begins, p + length // 2, "right")) - 1
                     entry = (e, max(0, p - slack + end - length - int(begins[text])), length)
                     best[text, j] = min(best.get((text, j), entry), entry)
-    return sorted((t, i, *entry) for (t, j), entry in best.items() for i in sieve.ids[j])
+    found = [(t, i, *entry) for (t, j), entry in best.items() for i in sieve.ids[j]] + list(_exact(sieve, flat, begins))
+    return sorted(found, key=lambda x: (x[0], x[1] is None, x[1] or 0, *x[2:]))
 
 
 def _batches(sieve: Sieve, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
@@ -243,13 +290,13 @@ def _batches(sieve: Sieve, texts: list[bytes]) -> Iterator[tuple[int, int, int,
 
 def sieves(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", edits: float = EDITS, least_words: int = LEAST_WORDS) -> list[Sieve]:
     """A sieve for every block of the benchmark. A block's size is bounded; a larger benchmark has more of them."""
-    items = benchmark.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")).where("id is not null and text is not null")
+    items = benchmark.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")).where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
     blocks = max(1, math.ceil(2 * chars / BLOCK_CHARS))
     block: Column = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     built = []
     for b in range(blocks):
-        built.append(build(sorted((r.id, r.text.encode()) for r in items.where(block == b).collect()), edits, least_words))
+        built.append(build(sorted(((r.id, r.text.encode()) for r in items.where(block == b).collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1])), edits, least_words))
     return [x for x in built if x is not None]
 
 
@@ -258,8 +305,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 
     An item is held if a stretch of the text's words is within `edits` of its words, as a part of the item's length; a row
     for its best place, `first_word` counting from 0. Whole texts are looked through, in windows of each item's size. Null
-    and empty texts hold nothing; items that are null or have fewer than `least_words` words are not looked for; repeated
-    rows each give their rows; an empty table gives an empty one; further columns are ignored.
+    and empty texts hold nothing; items of fewer than `least_words` words are held where all their words follow each other;
+    an item without an id is looked for like any other, one without a word is not; repeated rows each give their rows; an empty table gives an empty one; further columns are ignored.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, edits int, first_word long, item_words int"
