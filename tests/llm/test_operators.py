@@ -159,6 +159,27 @@ def test_copies_that_are_like_the_original_alone_all_join_it(spark, copies):
     assert len(set(groups.values())) == 1
 
 
+def test_texts_just_over_the_similarity_are_found(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "w" + str(rng.integers(0, 100_000))
+    texts = []
+    for i in range(120):
+        n = (40, 100, 400)[i % 3]
+        base = [word() for _ in range(n)]
+        texts.append(" ".join(base))
+        k = int(n * 0.24)
+        if i % 2:
+            texts.append(" ".join(base + [word() for _ in range(k - 1)]))
+        else:
+            texts.append(" ".join(base[: n // 2] + [word() for _ in range(max(1, k // 2 - 5))] + base[n // 2 + max(1, k // 2 - 5) :]))
+        line = [word() for _ in range(7)]
+        texts += [" ".join(line * 40 + base[:12]), " ".join(line * 4 + base[:12])]
+    groups, pairs = near_groups(spark, texts)
+    assert len(pairs) >= 150
+    assert all(groups[a] == groups[b] for a, b in pairs)
+    assert len(set(groups.values())) == len(set(roots(len(texts), pairs)))
+
+
 # --- 2 ---
 
 
