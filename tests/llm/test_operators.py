@@ -242,6 +242,19 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_language_is_learned_with_all_its_words(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(rng.choice(letters, 8)) for _ in range(70_000)]
+    rows = [(i, " ".join(words[i * 700 : i * 700 + 700] * 2), "big") for i in range(100)]
+    rows += [(100 + i, f"zuq{i} vex dof wub kij", "small") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, part = langid.fit(df), langid.fit(df, learn_from=10)
+    assert set(words) <= set(whole.words)
+    assert whole.languages == part.languages == ["big", "small"]
+    assert whole.predict("vex dof kij")[0] == part.predict("vex dof kij")[0] == "small"
+
+
 def test_language_backs_off_to_shorter_grams():
     m = langid.LanguageModel(["a", "b"], np.log([0.5, 0.5]), ["foo"], np.array([[-1.0, -3.0]]), ["bar", "r"], np.array([[-1.0, -2.0], [-3.0, -1.0]]))
     assert m.of_word("foo").tolist() == [-1.0, -3.0]

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import remainder, written
 
-#: Labelled documents to learn from at most (in expectation, spread evenly over all by a hash of their id), words and
-#: n-grams that the model keeps at most, the longest n-gram, and the words whose scores a task remembers.
-LEARN_FROM, WORDS, GRAMS, LONGEST, REMEMBERED = 20_000, 60_000, 40_000, 4, 100_000
+#: Labelled documents of each language to learn from at most (in expectation, spread evenly over all by a hash of their
+#: id), the longest n-gram, and the words whose scores a task remembers besides those of the model.
+LEARN_FROM, LONGEST, REMEMBERED = 20_000, 4, 100_000
 #: A word scores with at least this many occurrences; fewer leave it to its n-grams.
 LEAST_SEEN, PRIOR = 2, 0.1
 #: Scores of a word and of a text's words are scaled so: the words of a text are not independent.
@@ -100,12 +100,15 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
-def fit(labelled: DataFrame, learn_from: int = LEARN_FROM, words: int = WORDS, grams: int = GRAMS) -> LanguageModel:
-    """Learns from (doc_id, text, lang). Counts are made by Spark; what reaches the driver is the model, of bounded size."""
+def fit(labelled: DataFrame, learn_from: int = LEARN_FROM) -> LanguageModel:
+    """Learns from (doc_id, text, lang). Counts are made by Spark; what reaches the driver is the model: every word and
+    n-gram that the documents learned from have often enough, in whichever language."""
     docs = labelled.where("lang is not null and text is not null")
-    n = docs.count()
+    n = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = {lang: min(1.0, learn_from / of) for lang, of in n.items()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30))
-    chosen = docs.where(draw < int((1 << 30) * min(1.0, learn_from / max(1, n)))) if n > learn_from else docs
+    part = [F.when(F.col("lang") == lang, draw < int((1 << 30) * x)) for lang, x in share.items() if x < 1]
+    chosen = docs.where(F.coalesce(*part, F.lit(True))) if part else docs
     counts = written(chosen.select("lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "lang-words")
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     languages = sorted(totals)
@@ -117,11 +120,11 @@ def fit(labelled: DataFrame, learn_from: int = LEARN_FROM, words: int = WORDS, g
     ).otherwise(F.array().cast("array<string>"))))
     gram_counts = counts.select("lang", "n", F.explode(pieces).alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
-    def most(frame: DataFrame, at_most: int) -> tuple[list[str], np.ndarray]:
-        """The most frequent keys and their counts by language."""
+    def known_of(frame: DataFrame) -> tuple[list[str], np.ndarray]:
+        """The keys that are seen often enough and their counts by language."""
         by = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
         keys = frame.groupBy("word").agg(F.sum("n").alias("n"), *by).where(F.col("n") >= LEAST_SEEN)
-        top = keys.orderBy(F.desc("n"), "word").limit(at_most).toArrow()
+        top = keys.toArrow()
         return top.column("word").to_pylist(), np.stack([top.column(f"n{i}").to_numpy() for i in range(len(languages))], axis=1).astype(float)
 
     def logs(seen: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -132,10 +135,10 @@ def fit(labelled: DataFrame, learn_from: int = LEARN_FROM, words: int = WORDS, g
             out[group == g] = np.log((part + PRIOR) / (part.sum(0) + PRIOR * (len(part) + 1)))
         return out
 
-    known, seen = most(counts, words)
-    pieces_known, pieces_seen = most(gram_counts, grams)
-    everything = sum(totals.values())
-    prior = np.log([totals[x] / everything for x in languages])
+    known, seen = known_of(counts)
+    pieces_known, pieces_seen = known_of(gram_counts)
+    words = np.array([totals[x] / share[x] for x in languages])  # of all documents, also those not learned from
+    prior = np.log(words / words.sum())
     return LanguageModel(languages, prior, known, logs(seen, np.zeros(len(known))), pieces_known, logs(pieces_seen, np.array([len(g) for g in pieces_known])))
 
 
