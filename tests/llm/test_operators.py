@@ -225,6 +225,18 @@ def test_leaks_of_short_unspaced_and_nameless_items(spark):
     assert [r.doc_id for r in decontaminate.find_leaks(frame, only_short).collect()] == [4]
 
 
+def test_leaks_at_the_ends_of_texts_that_are_shorter_than_the_item():
+    rng = np.random.default_rng(4)
+    words = [b"c" + str(i).encode() for i in range(12)]
+    items = [[words[i] for i in rng.integers(0, 12, 20)] for _ in range(200)]
+    sieve = decontaminate.build([(i, b" ".join(x)) for i, x in enumerate(items)])
+    assert len(sieve.open_items) == len(items)
+    for cut in (slice(0, 19), slice(1, 20), slice(0, 16), slice(4, 20)):
+        texts = [np.array([sieve.vocabulary[w] for w in x[cut]], np.int32) for x in items]
+        found = {(t, i) for t, i, *_ in decontaminate.find(sieve, texts)}
+        assert sum((i, i) in found for i in range(200)) >= 190
+
+
 def test_edit_distances():
     items = np.array([[1, 2, 3, 4]] * 3, np.int32)
     windows = np.array([[9, 1, 2, 3, 4, 9], [1, 2, 9, 3, 4, 9], [9, 9, 9, 9, 9, 9]], np.int32)

@@ -203,7 +203,7 @@ def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
 
     A match keeps at least `need` rare words of its item within the item's length and the allowed edits, and the first of
     them that is left tells where the window starts. Items without rare words take all windows in which no more words are
-    foreign to the benchmark than edits are allowed.
+    foreign to the benchmark than edits are allowed; as many may lie before the text's first word or after its last.
     """
     starts: dict[int, list[np.ndarray]] = defaultdict(list)
     if not sieve.items:
@@ -223,9 +223,10 @@ def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
         slack = int(sieve.slack[i])
         starts[int(sieve.lengths[i])].append(np.arange(p - sieve.latest[i] - slack, p - sieve.earliest[i] + slack + 1))
     if len(sieve.open_items):
-        unknown = np.concatenate([[0], np.cumsum(np.where(flat < 0, len(flat), flat == 0))])
+        unknown, outside = (np.concatenate([[0], np.cumsum(x)]) for x in (flat == 0, flat < 0))
         for length in np.unique(sieve.lengths[sieve.open_items]).tolist():
-            starts[length].append(np.nonzero(unknown[length:] - unknown[:-length] <= allowed(length, sieve.edits))[0])
+            foreign, beyond = (x[length:] - x[:-length] for x in (unknown, outside))
+            starts[length].append(np.nonzero(np.maximum(foreign, beyond) <= allowed(length, sieve.edits))[0])
     longest = int(sieve.lengths.max())
     return {n: (s := np.unique(np.concatenate(x)))[(s >= longest) & (s < len(flat) - 2 * longest)] for n, x in starts.items()}
 
