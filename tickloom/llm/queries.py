@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, classlm, decontaminate, langid, licences, secrets, sentences, topk, urls
+from tickloom.llm import chat, classlm, decontaminate, langid, licences, runs, secrets, sentences, topk, urls
 from tickloom.llm.common import table
 from tickloom.llm.simhash import simhash_components
 
@@ -58,6 +58,30 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.expand_prefixes(turns.unionByName(more)))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents in which a tenth of the texts repeat themselves from some word on, as the crc32 of their ids tells."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10).cast("long")
+    words = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("words"))
+    n = F.size("words")
+    placed = words.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    periodic = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.get("words", at(i).cast("int")))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(periodic, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period, r as run))).run")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    told = found.withColumn("longest", longest)
+    return told.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("longest.length * 1000 div longest.period").alias("exponent_milli"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -69,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_urls": op9_urls,
     "op10_chat": op10_chat,
+    "op13_runs": op13_runs,
 }
 
 
