@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, classlm, decontaminate, langid, licences, runs, secrets, sentences, topk, urls
+from tickloom.llm import chat, classlm, decontaminate, langid, licences, phrases, runs, secrets, sentences, topk, urls
 from tickloom.llm.common import table
 from tickloom.llm.simhash import simhash_components
 
@@ -58,6 +58,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.expand_prefixes(turns.unionByName(more)))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def planted_periods(docs: DataFrame) -> DataFrame:
     """Documents in which a tenth of the texts repeat themselves from some word on, as the crc32 of their ids tells."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_urls": op9_urls,
     "op10_chat": op10_chat,
+    "op12_phrases": op12_phrases,
     "op13_runs": op13_runs,
 }
 
@@ -170,6 +175,26 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN lines USING (row) LEFT JOIN counts USING (row)
 """
 
+ORACLES["op12_phrases"] = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM pieces),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM split),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM places, range(1, {phrases.LONGEST + 1}) r(k)
+    WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS ws FROM grams WHERE f >= {phrases.LEAST}),
+cuts AS (SELECT o.lang, o.phrase, o.f AS a, c AS k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * o.f // (x.f + y.f) AS BIGINT) AS score
+    FROM often o, range(1, {phrases.LONGEST}) r(c), often x, often y
+    WHERE o.k > c AND x.lang = o.lang AND y.lang = o.lang AND x.phrase = array_to_string(o.ws[1:c], ' ') AND y.phrase = array_to_string(o.ws[c + 1:o.k], ' ')),
+weakest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts) WHERE place = 1),
+inside AS (SELECT o.lang, array_to_string(o.ws[s:s + m - 1], ' ') AS phrase, max(o.f) AS longer FROM often o, range(2, {phrases.LONGEST}) r(m), range(1, {phrases.LONGEST}) t(s)
+    WHERE m < o.k AND s + m - 1 <= o.k GROUP BY ALL),
+left_over AS (SELECT w.* FROM weakest w LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST({phrases.ABSORBED} AS HUGEINT) * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {phrases.BEST}
+"""
+
 _GRAM_LENGTHS = urls.ORDER + 1
 _WEIGHTS = []
 for _k in range(2, _GRAM_LENGTHS + 1):
