@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -56,3 +57,21 @@ def raw(column: pa.Array) -> list[bytes]:
     """A text column as UTF-8 bytes; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return [x or b"" for x in column.cast(kind).to_pylist()]
+
+
+#: Bits of a row of a bitmap, as Spark's bitmaps have them.
+BITMAP_ROW = 1 << 15
+
+
+def bitmap(bits: DataFrame, size: int) -> np.ndarray:
+    """The set of values of column `bit`, from 0 to below `size`, as `size` bits: a filter that does not grow with its input."""
+    rows = bits.groupBy((F.col("bit") / BITMAP_ROW).cast("int").alias("row")).agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_ROW).alias("bits"))
+    out = np.zeros((size // BITMAP_ROW, BITMAP_ROW // 8), np.uint8)
+    for row, part in rows.collect():  # size / BITMAP_ROW rows at most
+        out[row] = np.frombuffer(part, np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bits: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Which of the values are in the set."""
+    return bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1

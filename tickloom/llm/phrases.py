@@ -17,17 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.llm.common import raw, written
+from tickloom.llm.common import bitmap, in_bitmap, raw, written
 
 #: Least occurrences and most words of a phrase, phrases of a language, and when a longer phrase stands for a shorter one.
 LEAST, LONGEST, BEST, ABSORBED = 30, 4, 2000, 80
 UNKNOWN = "und"
 #: Bytes of text in a block, and pairs that are counted together.
-BLOCK, TOGETHER = 4 << 20, 4 << 20
+BLOCK, TOGETHER = 2 << 20, 2 << 20
 #: Ids along a side of a tile, tiles along a side of the part that may be dense, and pairs that make a tile dense.
-SIDE, TILES, DENSE = 1024, 64, 1 << 18
-#: Bits of the bitmap of frequent pairs (8 MB at any size of the input), and of one of its rows.
-BITS, ROW = 1 << 26, 1 << 15
+SIDE, TILES, DENSE = 1024, 64, 1 << 17
+#: Bits of the bitmap of frequent pairs: 8 MB at any size of the input.
+BITS = 1 << 26
 #: Parts of one frequency class that are ranked apart.
 SALTS = 16
 
@@ -143,8 +143,10 @@ def count_pairs(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
     if not len(a):
         return
     if max(int(a.max()), int(b.max())) < 1 << 31:
-        code, counts = np.unique(a << 32 | b, return_counts=True)
-        yield code >> 32, code & 0xFFFFFFFF, counts
+        code = a << 32 | b
+        code.sort()
+        at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        yield code[at] >> 32, code[at] & 0xFFFFFFFF, np.diff(np.r_[at, len(code)])
     else:
         pairs, counts = np.unique(np.stack([a, b], 1), axis=0, return_counts=True)
         yield pairs[:, 0], pairs[:, 1], counts
@@ -166,7 +168,9 @@ def _frequent_pairs(blocks: DataFrame, least: int, purpose: str) -> DataFrame:
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for a, b, n in count_pairs(*(np.concatenate(x) for x in zip(*kept, strict=True))):
+            a, b = (np.concatenate(x) for x in zip(*kept, strict=True))
+            kept.clear()
+            for a, b, n in count_pairs(a, b):
                 yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a, b, n)], ["first", "second", "n"])
 
         for batch in batches:
@@ -175,7 +179,7 @@ def _frequent_pairs(blocks: DataFrame, least: int, purpose: str) -> DataFrame:
                 size += len(a)
                 if size >= TOGETHER:
                     yield from counted()
-                    kept, size = [], 0
+                    size = 0
         if size:
             yield from counted()
 
@@ -189,25 +193,15 @@ def _bit(first, second):
     return (first * 1_000_003 + second * 7_919) % BITS
 
 
-def _bitmap(pairs: DataFrame) -> np.ndarray:
-    """All bits of frequent pairs: BITS bits, however many pairs there are."""
-    bit = pairs.select(_bit(F.col("first"), F.col("second")).alias("bit"))
-    rows = bit.groupBy((F.col("bit") / ROW).cast("int").alias("row")).agg(F.bitmap_construct_agg(F.col("bit") % ROW).alias("bits"))
-    out = np.zeros((BITS // ROW, ROW // 8), np.uint8)
-    for row, bits in rows.collect():  # BITS / ROW rows at most
-        out[row] = np.frombuffer(bits, np.uint8)
-    return out.ravel()
-
-
 def _meanings(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
     """(block, first, second, id): frequent pairs of each block."""
-    bitmap = blocks.sparkSession.sparkContext.broadcast(_bitmap(pairs))
+    bits = bitmap(pairs.select(_bit(F.col("first"), F.col("second")).alias("bit")), BITS)
+    shared = blocks.sparkSession.sparkContext.broadcast(bits)  # BITS / 8 bytes
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, a, b in _neighbours(batch, 1):
-                bit = _bit(a, b)
-                open_ = bitmap.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
+                open_ = in_bitmap(shared.value, _bit(a, b))
                 for x, y, _ in count_pairs(a[open_], b[open_]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), block, np.int64)), pa.array(x.astype(np.int64)), pa.array(y.astype(np.int64))], ["block", "first", "second"])
 
