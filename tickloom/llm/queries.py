@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, classlm, decontaminate, langid, licences, phrases, runs, secrets, sentences, topk, urls
+from tickloom.llm import chat, classlm, decontaminate, langid, licences, phrases, repeats, runs, secrets, sentences, topk, urls
 from tickloom.llm.common import table
 from tickloom.llm.simhash import simhash_components
 
@@ -58,6 +58,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.expand_prefixes(turns.unionByName(more)))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s.upto - s.begin)
+    return kept.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_urls": op9_urls,
     "op10_chat": op10_chat,
+    "op11_repeats": op11_repeats,
     "op12_phrases": op12_phrases,
     "op13_runs": op13_runs,
 }
@@ -175,6 +182,22 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN lines USING (row) LEFT JOIN counts USING (row)
 """
 
+ORACLES["op11_repeats"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT row, h, unnest(range(0, length(h) // 2 - {repeats.WIDTH - 1})) AS s FROM d WHERE length(h) // 2 >= {repeats.WIDTH}),
+strings AS (SELECT row, s, md5(substr(h, 2 * s + 1, {2 * repeats.WIDTH})) AS string FROM places),
+again AS (SELECT string FROM strings GROUP BY string HAVING count(*) > 1),
+marked AS (SELECT row, s, lag(s) OVER (PARTITION BY row ORDER BY s) AS before FROM strings SEMI JOIN again USING (string)),
+numbered AS (SELECT row, s, count(*) FILTER (before IS NULL OR s - before > {repeats.WIDTH}) OVER (PARTITION BY row ORDER BY s) AS span FROM marked),
+spans AS (SELECT row, min(s) AS b, max(s) + {repeats.WIDTH} AS e FROM numbered GROUP BY row, span),
+gaps AS (SELECT row, b, e, coalesce(lag(e) OVER (PARTITION BY row ORDER BY b), 0) AS after FROM spans),
+cut AS (SELECT row, sum(e - b) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS head, max(e) AS last
+    FROM gaps JOIN d USING (row) GROUP BY row)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(CASE WHEN last IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (row)
+"""
+
 ORACLES["op12_phrases"] = rf"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
     unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
