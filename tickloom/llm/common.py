@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.session import scratch_path
+from tickloom.sinks.publish import Files
 
 #: Lower-cases A-Z and nothing else, in SQL and in Python (`bytes.lower` does the same).
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,6 +29,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that `written` stored, once all that was made of them has been written itself."""
+    for frame in frames:
+        for path in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            if "/tickloom-" in path:
+                Files(frame.sparkSession, path).delete(path)
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.llm.common import bitmap, in_bitmap, raw, written
+from tickloom.llm.common import bitmap, discard, in_bitmap, raw, written
 
 #: Least occurrences and most words of a phrase, phrases of a language, and when a longer phrase stands for a shorter one.
 LEAST, LONGEST, BEST, ABSORBED = 30, 4, 2000, 80
@@ -80,7 +80,9 @@ def _ranked(counted: DataFrame, purpose: str) -> DataFrame:
     keys = [c for c in counted.columns if c != "n"]
     place = F.row_number().over(Window.partitionBy("class", "salt").orderBy(F.desc("n"), *keys))
     placed = salted.withColumn("place", place).join(F.broadcast(offsets), ["class", "salt"])  # a row per class and salt: under 2,000
-    return written(placed.select((F.col("before") + F.col("place") - 1).alias("id"), *counted.columns), purpose)
+    out = written(placed.select((F.col("before") + F.col("place") - 1).alias("id"), *counted.columns), purpose)
+    discard(salted)
+    return out
 
 
 def _squeezed(ids: np.ndarray) -> np.ndarray:
@@ -90,19 +92,49 @@ def _squeezed(ids: np.ndarray) -> np.ndarray:
     return np.where(beside, ids, -1)[beside | np.r_[False, beside[:-1]]]
 
 
+def _packed(meanings: DataFrame, keys: list[str]) -> DataFrame:
+    """(of, packed): the meanings of a block that lie in one partition, as one row of whole numbers."""
+    names = ["block", *keys, "id"]
+
+    def rows(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        table = np.stack([np.concatenate(x) for x in zip(*parts, strict=True)])
+        table = table[:, np.argsort(table[0], kind="stable")]
+        at = np.flatnonzero(np.r_[True, table[0, 1:] != table[0, :-1]])
+        small = int(table.max()) < 1 << 31
+        cut = [table[1:, a:b].astype(np.int32 if small else np.int64).tobytes() for a, b in zip(at, np.r_[at[1:], table.shape[1]], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(table[0, at]), pa.array([small] * len(at)), pa.array(cut, pa.binary())], ["of", "small", "packed"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list[np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            kept.append([c.to_numpy().astype(np.int64) for c in batch.columns])
+            size += batch.num_rows
+            if size >= TOGETHER // 2:
+                yield rows(kept)
+                kept, size = [], 0
+        if size:
+            yield rows(kept)
+
+    return meanings.select(*names).mapInArrow(pack, "of long, small boolean, packed binary")
+
+
 def _replaced(blocks: DataFrame, meanings: DataFrame, keys: list[str], translate, purpose: str) -> DataFrame:
-    """Blocks (block, ids) after `translate(ids, keys, new ids)`; meanings: (block, keys, id)."""
+    """Blocks (block, ids) after `translate(ids, keys, new ids)`; meanings: (block, keys, id). The blocks given are deleted."""
+    width = len(keys) + 1
 
     def run(block: pa.Table, meaning: pa.Table) -> pa.Table:
         if not block.num_rows:
             return block.select(["block", "ids"])
-        columns = [meaning.column(k).to_numpy().astype(np.int64) for k in [*keys, "id"]]
+        parts = [np.frombuffer(p, np.int32 if small else np.int64).reshape(width, -1) for small, p in zip(meaning.column("small").to_pylist(), meaning.column("packed").to_pylist(), strict=True)]
+        columns = np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((width, 0), np.int64)
         ids = _squeezed(translate(block.column("ids")[0].as_py(), *columns))
         return pa.table({"block": block.column("block"), "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary())})
 
-    meant = meanings.select(F.col("block").alias("of"), *keys, "id")
-    both = blocks.select("block", "ids").groupBy("block").cogroup(meant.groupBy("of"))
-    return written(both.applyInArrow(run, "block long, ids binary"), purpose)
+    both = blocks.select("block", "ids").groupBy("block").cogroup(_packed(meanings, keys).groupBy("of"))
+    out = written(both.applyInArrow(run, "block long, ids binary"), purpose)
+    discard(blocks)
+    return out
 
 
 def _words_to_ids(tokens: bytes, place: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -267,7 +299,7 @@ def collocations(
     of any length is in one block. Other columns are not read, so their names do not matter.
     """
     blocks = _blocks(docs, lang_column, text_column)
-    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n_words"))
+    totals = written(blocks.groupBy("lang").agg(F.sum("n").alias("n_words")), "totals")
     held = blocks.select("block", "lang", F.inline("vocabulary"))
     counted = held.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     words = _ranked(counted, "words")
@@ -277,6 +309,8 @@ def collocations(
     found = []
     for length in range(2, longest + 1):
         pairs = _frequent_pairs(blocks, least, f"pairs-{length}")
+        if length == longest:
+            discard(blocks)
         longer = _longer(pairs, phrases, f"phrases-{length}")
         if found:
             found[-1] = found[-1].join(_absorbed(longer), "id", "left_anti")
