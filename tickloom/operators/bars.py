@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,26 +18,21 @@ from tickloom.timeframe import Timeframe, parse
 BAR_FIGURES = ("open", "high", "low", "close", "volume", "quote_volume", "twap", "vwap")
 
 
-# Ids below this share one number with their time.
-ID_SPAN = 10**18
+# A time and an id share one number: any 64-bit id, moved up so that none is below zero, has fewer digits than this.
+ID_SPAN, ID_SHIFT = Decimal(10**20), Decimal(2**63)
 
 
 def _position(df: DataFrame, order: Sequence[str]) -> Column:
     """An ordering that stays a primitive where it can, which keeps hash aggregation.
 
-    A time and a whole-number id become one DECIMAL; an id that would not fit fails the query.
+    A time and a whole-number id become one DECIMAL; a missing id comes before all others.
     """
     if len(order) == 1:
         return F.col(order[0])
     if len(order) == 2 and isinstance(df.schema[order[1]].dataType, (T.LongType, T.IntegerType)):
-        number = F.col(order[1])
-        fits = F.when((number >= 0) & (number < ID_SPAN), number)
-        fits = F.when(number.isNull(), F.lit(0)).otherwise(
-            F.coalesce(fits, F.raise_error(F.lit("trade ids must lie in [0, 10^18)")).cast("bigint"))
-        )
-        return (to_micros(df, order[0]).cast("decimal(19,0)") * F.lit(ID_SPAN).cast("decimal(19,0)")).cast(
-            "decimal(38,0)"
-        ) + fits.cast("decimal(19,0)")
+        time = to_micros(df, order[0]).cast("decimal(19,0)") * F.lit(ID_SPAN).cast("decimal(21,0)")
+        number = F.col(order[1]).cast("decimal(20,0)") + F.lit(ID_SHIFT).cast("decimal(20,0)")
+        return time.cast("decimal(38,0)") + F.coalesce(number, F.lit(0)).cast("decimal(21,0)")
     return F.struct(*order)
 
 

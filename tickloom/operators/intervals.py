@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros, utc_date
@@ -53,43 +53,29 @@ def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def coverage_gaps(
-    requests: DataFrame, coverage: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
+#: What is known of a range: rows of it were seen, or it was asked for and has none.
+OBSERVED, KNOWN_EMPTY, MISSING = "observed", "known_empty", "missing"
+
 
-    Requests and coverage meet on (key, day), so a request is compared only with the ranges
-    that touch its days. Pieces that meet at midnight are put together again at the end.
+def _meeting(requests: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Requests cut at midnight, and each such piece with every range that touches it.
+
+    Requests and ranges meet on (key, day), so a request is compared only with the ranges of its days.
     """
-    ntz = is_ntz(requests, "start_ts")
     asked = _by_day(
         requests.select(*keys, "start_ts", "end_ts").distinct(), "start_ts", "end_ts"
     ).select(
         *keys, F.col("_from").alias("_rs"), F.col("_upto").alias("_re"), CHUNK,
         F.col("_s").alias("_ps"), F.col("_e").alias("_pe"),
     )
-    merged = coalesce_intervals(coverage, keys)
-    held = _by_day(merged, "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e")
-    hits = join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
-    # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
-    closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")})
-    piece = [*keys, "_rs", "_re", CHUNK]
-    along = Window.partitionBy(*piece).orderBy("_s", "_e")
-    left = F.coalesce(F.lag("_e").over(along), F.col("_ps"))
-    gaps = (
-        hits.unionByName(closing)
-        .withColumn("_gap_from", left)
-        .where(F.col("_gap_from") < F.col("_s"))
-        .select(
-            *keys,
-            "_rs",
-            "_re",
-            from_micros(F.col("_gap_from"), ntz).alias("gap_start"),
-            from_micros(F.col("_s"), ntz).alias("gap_end"),
-        )
-    )
-    whole = coalesce_intervals(gaps, [*keys, "_rs", "_re"], "gap_start", "gap_end")
-    return whole.select(
+    held = _by_day(coalesce_intervals(ranges, keys), "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e")
+    return asked, join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
+
+
+def _whole(pieces: DataFrame, keys: Sequence[str], start: Column, end: Column, ntz: bool) -> DataFrame:
+    """Pieces of requests, put together where they touch: keys, request_start, request_end, gap_start, gap_end."""
+    timed = pieces.select(*keys, "_rs", "_re", from_micros(start, ntz).alias("gap_start"), from_micros(end, ntz).alias("gap_end"))
+    return coalesce_intervals(timed, [*keys, "_rs", "_re"], "gap_start", "gap_end").select(
         *keys,
         from_micros(F.col("_rs"), ntz).alias("request_start"),
         from_micros(F.col("_re"), ntz).alias("request_end"),
@@ -98,6 +84,42 @@ def coverage_gaps(
     )
 
 
+def overlaps(requests: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The parts of each request (key, start_ts, end_ts) that the ranges hold."""
+    _, hits = _meeting(requests, ranges, keys)
+    return _whole(hits, keys, F.greatest("_s", "_ps"), F.least("_e", "_pe"), is_ntz(requests, "start_ts"))
+
+
+def coverage_gaps(
+    requests: DataFrame, coverage: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
+
+    Coverage with a ``status`` gives one too: ``missing`` where nothing is known, and ``known_empty`` for the parts that
+    were asked for before and have no rows. Pieces that meet at midnight are put together again at the end.
+    """
+    if "status" in coverage.columns:
+        empty = label_ranges(coverage, keys).where(F.col("status") == KNOWN_EMPTY)
+        missing = coverage_gaps(requests, coverage.drop("status"), keys).withColumn("status", F.lit(MISSING))
+        return missing.unionByName(overlaps(requests, empty, keys).withColumn("status", F.lit(KNOWN_EMPTY)))
+    asked, hits = _meeting(requests, coverage, keys)
+    # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
+    closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")})
+    piece = [*keys, "_rs", "_re", CHUNK]
+    along = Window.partitionBy(*piece).orderBy("_s", "_e")
+    left = F.coalesce(F.lag("_e").over(along), F.col("_ps"))
+    gaps = hits.unionByName(closing).withColumn("_gap_from", left).where(F.col("_gap_from") < F.col("_s"))
+    return _whole(gaps, keys, F.col("_gap_from"), F.col("_s"), is_ntz(requests, "start_ts"))
+
+
+def label_ranges(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges with a status, none overlapping another: what was observed anywhere is observed, the rest stays known empty."""
+    seen = coalesce_intervals(ranges.where(F.col("status") == OBSERVED), keys)
+    empty = coalesce_intervals(ranges.where(F.col("status") == KNOWN_EMPTY), keys)
+    left = coverage_gaps(empty, seen, keys).select(*keys, F.col("gap_start").alias("start_ts"), F.col("gap_end").alias("end_ts"))
+    return seen.withColumn("status", F.lit(OBSERVED)).unionByName(left.withColumn("status", F.lit(KNOWN_EMPTY)))
+
+
 def clamp_to_listing(requests: DataFrame, listing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """No request starts before its series was listed; requests that end earlier vanish."""
     joined = join_on(requests, listing.select(*keys, "listing_date"), keys, "left")
@@ -114,8 +136,9 @@ def pending_ranges(
     listing: DataFrame,
     keys: Sequence[str],
 ) -> DataFrame:
-    """What a backfill of the requests would still have to land."""
-    return coverage_gaps(clamp_to_listing(requests, listing, keys), coverage, keys)
+    """What a backfill of the requests would still have to land; ranges known to be empty are not asked for again."""
+    gaps = coverage_gaps(clamp_to_listing(requests, listing, keys), coverage, keys)
+    return gaps.where(F.col("status") == MISSING).drop("status") if "status" in gaps.columns else gaps
 
 
 def _day_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -165,12 +188,22 @@ def mixed_symbols(candles: DataFrame, folder: Sequence[str]) -> DataFrame:
 
 
 def advance_coverage(
-    coverage: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str]
+    coverage: DataFrame, landed: DataFrame, timeframe: str, keys: Sequence[str], asked: DataFrame | None = None
 ) -> DataFrame:
-    """Coverage after landing new candles. Only observed rows add to it."""
+    """Coverage after landing new candles. Only observed rows add to what is covered.
+
+    With ``asked``, the ranges (key, start_ts, end_ts) that the landing was to fill, or with coverage that has a ``status``,
+    the result has one: what was asked for and has no rows is known to be empty, until rows of it are seen.
+    """
     added = rebuild_coverage(landed, timeframe, keys)
-    both = coverage.select(*keys, "start_ts", "end_ts").unionByName(added)
-    return coalesce_intervals(both, keys)
+    columns = [*keys, "start_ts", "end_ts"]
+    if asked is None and "status" not in coverage.columns:
+        return coalesce_intervals(coverage.select(*columns).unionByName(added), keys)
+    known = coverage if "status" in coverage.columns else coverage.withColumn("status", F.lit(OBSERVED))
+    ranges = known.select(*columns, "status").unionByName(added.withColumn("status", F.lit(OBSERVED)))
+    if asked is not None:
+        ranges = ranges.unionByName(asked.select(*columns).withColumn("status", F.lit(KNOWN_EMPTY)))
+    return label_ranges(ranges, keys)
 
 
 def missing_days(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 SERIES = ("exchange", "instrument_type", "symbol")
 PARTITIONS = ("exchange", "instrument_type", "base_asset", "date")
+#: The order in which rows of one landing arrived, which settles equal keys among them; it is not stored.
+ARRIVAL = "_seq"
 
 
 @dataclass(frozen=True)
@@ -28,24 +30,36 @@ class Dataset:
         series = ", ".join(f"{c} string" for c in SERIES)
         return T.StructType.fromDDL(f"{series}, {self.columns}")
 
+    @property
+    def folders(self) -> tuple[str, ...]:
+        """Folder levels of the stored table: candles of different widths lie apart, so that one width can be read alone."""
+        return (*PARTITIONS[:-1], "timeframe", "date") if "timeframe" in self.schema.names else PARTITIONS
+
 
 _OHLC = "open double, high double, low double, close double"
 _FIGURES = f"{_OHLC}, volume double, quote_volume double, twap double, vwap double"
-# The columns of headerless vendor files, in their order.
-_KLINE = ("open_time", "open", "high", "low", "close", "ignore_1", "ignore_2", "ignore_3", "count", "ignore_4", "ignore_5", "ignore_6")
+# The columns of vendor files without a header, in their order.
+_KLINE = ("open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume", "ignore")
 _TRADE = ("trade_id", "price", "qty", "quote_qty", "time", "is_buyer_maker", "is_best_match")
 _AGG = ("agg_trade_id", "price", "qty", "first_trade_id", "last_trade_id", "time", "is_buyer_maker", "is_best_match")
-_BOOK_TICKER = ("update_id", "best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty", "time")
+_BOOK_TICKER = ("update_id", "best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty", "time", "symbol")
 _DEPTH = ("timestamp", "percentage", "depth", "notional")
 _LIQUIDATION = (
     "time", "side", "order_type", "time_in_force", "original_quantity", "price", "average_price", "order_status",
     "last_fill_quantity", "accumulated_fill_quantity",
 )
 _METRICS = (
-    "create_time", "sum_open_interest", "sum_open_interest_value", "count_top_trader_long_short_ratio",
+    "create_time", "symbol", "sum_open_interest", "sum_open_interest_value", "count_top_trader_long_short_ratio",
     "sum_top_trader_long_short_ratio", "count_long_short_ratio", "sum_long_short_ratio",
 )
-_FUNDING = ("calc_time", "funding_interval_hours", "last_funding_rate")
+_FUNDING = ("calc_time", "symbol", "last_funding_rate")
+
+# Other names under which vendor headers have a column.
+HEADER_NAMES = {
+    "id": "trade_id", "quantity": "qty", "quote_quantity": "quote_qty", "transact_time": "time", "transacttime": "time", "transaction_time": "time",
+    "opentime": "open_time", "closetime": "close_time", "t": "time", "timestamp": "timestamp", "funding_time": "calc_time", "fundingtime": "calc_time",
+    "funding_rate": "last_funding_rate", "fundingrate": "last_funding_rate",
+}
 
 
 def _klines(name: str) -> Dataset:
@@ -66,7 +80,7 @@ DATASETS: dict[str, Dataset] = {
         Dataset("bookTicker", f"update_id bigint, {_doubles(*_BOOK_TICKER[1:5])}, time timestamp", ("time", "update_id"), "last", _BOOK_TICKER),
         Dataset("bookDepth", f"time timestamp, {_doubles(*_DEPTH[1:])}", ("time", "percentage"), "last", _DEPTH, {"timestamp": "time"}),
         Dataset("liquidationSnapshot", f"time timestamp, side string, order_type string, time_in_force string, {_doubles('original_quantity', 'price', 'average_price')}, order_status string, {_doubles('last_fill_quantity', 'accumulated_fill_quantity')}", ("time", "side", "price", "original_quantity"), "last", _LIQUIDATION),
-        Dataset("metrics", f"time timestamp, {_doubles(*_METRICS[1:])}", ("time",), "last", _METRICS, {"create_time": "time"}),
+        Dataset("metrics", f"time timestamp, {_doubles(*_METRICS[2:])}", ("time",), "last", _METRICS, {"create_time": "time"}),
         Dataset("fundingRate", "time timestamp, last_funding_rate double", ("time",), "first", _FUNDING, {"calc_time": "time"}),
         _klines("markPriceKlines"),
         _klines("indexPriceKlines"),
@@ -93,18 +107,18 @@ TASKS = {
     "backfill_premium_index_klines": "premiumIndexKlines",
 }
 
-# What is offered for each market type.
-OFFERED = {
-    "spot": ("ohlcv", "trades", "aggTrades"),
-    "swap": (
-        "ohlcv", "trades", "aggTrades", "bookTicker", "bookDepth", "liquidationSnapshot", "metrics", "fundingRate",
-        "markPriceKlines", "indexPriceKlines", "premiumIndexKlines", "open_interest",
-    ),
-    "future": (
-        "ohlcv", "trades", "aggTrades", "bookTicker", "bookDepth", "liquidationSnapshot", "metrics",
-        "markPriceKlines", "indexPriceKlines", "premiumIndexKlines",
-    ),
-}
+_KLINES_OF_PRICES = ("markPriceKlines", "indexPriceKlines", "premiumIndexKlines")
+# The datasets whose files a vendor offers for each market type, by day or by month.
+OFFERED_BY = {
+    ("spot", "daily"): ("ohlcv", "trades", "aggTrades"),
+    ("spot", "monthly"): ("ohlcv", "trades", "aggTrades"),
+    ("swap", "daily"): ("ohlcv", "trades", "aggTrades", "bookTicker", "bookDepth", "metrics", *_KLINES_OF_PRICES),
+    ("swap", "monthly"): ("ohlcv", "trades", "aggTrades", "bookTicker", "fundingRate", *_KLINES_OF_PRICES),
+    ("future", "daily"): ("ohlcv", "trades", "aggTrades", "bookTicker", "bookDepth", "metrics", "liquidationSnapshot", *_KLINES_OF_PRICES),
+    ("future", "monthly"): ("ohlcv", "trades", "aggTrades", "bookTicker", "fundingRate", *_KLINES_OF_PRICES),
+}
+#: Offered in either form; files of both are landed.
+OFFERED = {kind: tuple(sorted({name for (k, _), names in OFFERED_BY.items() if k == kind for name in names})) for kind, _ in OFFERED_BY}
 
 
 def dataset(name: str) -> Dataset:
@@ -115,6 +129,12 @@ def dataset(name: str) -> Dataset:
     return DATASETS[name]
 
 
+def is_offered(data_type: str, instrument_type: str) -> bool:
+    """Whether vendor files of a dataset exist for the market type. Datasets that come from answers are not asked for."""
+    of = dataset(data_type)
+    return not of.vendor or of.name in OFFERED.get(instrument_type, ())
+
+
 def available(wanted: DataFrame, spark: SparkSession) -> DataFrame:
     """Rows (data_type, instrument_type, ...) whose dataset the market type offers."""
     pairs = [(kind, name) for kind, names in OFFERED.items() for name in names]
@@ -123,8 +143,6 @@ def available(wanted: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def conform(df: DataFrame, of: Dataset) -> DataFrame:
-    """Exactly the dataset's columns and types; columns that the frame lacks are null."""
-    return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in of.schema.fields
-    ])
+    """The dataset's columns and types, and the order of arrival if the frame has it; columns that it lacks are null."""
+    columns = [(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in of.schema.fields]
+    return df.select(*columns, *[c for c in df.columns if c == ARRIVAL])

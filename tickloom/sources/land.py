@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.columns import epoch_to_micros, to_bool
-from tickloom.sources.datasets import conform, dataset
+from tickloom.sources.datasets import ARRIVAL, HEADER_NAMES, Dataset, conform, dataset
 
 
 def _typed(column: str, kind: T.DataType) -> Column:
@@ -22,25 +24,77 @@ def _typed(column: str, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
+def _header(line: str | None, of: Dataset) -> tuple[str, ...] | None:
+    """The columns that a file's first line names, by their names here; None if the line is no header that names the time."""
+    known = {c.lower(): c for c in of.vendor}
+    cells = [c.strip().strip('"').lower() for c in (line or "").lstrip("\ufeff").split(",")]
+    named = [known.get(c) or known.get(HEADER_NAMES.get(c, "")) for c in cells]
+    times = {c for c in of.vendor if of.renamed.get(c, c) == "time"}
+    if "time" not in known and any(HEADER_NAMES.get(c) == "time" or c == "time" for c in cells):
+        named = [next(iter(times)) if n is None and (HEADER_NAMES.get(c) == "time" or c == "time") else n for n, c in zip(named, cells, strict=True)]
+    if not times & set(named):
+        return None
+    return tuple(n if n and n not in named[:i] else f"_other_{i}" for i, n in enumerate(named))
+
+
+def _files_by_header(spark: SparkSession, path: str, of: Dataset) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path, by the columns of each. First lines are found in tasks; the driver gets one row per file."""
+    place = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), place.alias("place"), "value")
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in first.collect():
+        found.setdefault(_header(line, of) or of.vendor, []).append(file)
+    return found
+
+
+def arrival(batch: int, file: Column | None = None, block: Column | None = None, place: Column | None = None) -> Column:
+    """When a row arrived: by batch, then file, then its place there.
+
+    Rows of one part of a file are read in their order by one task, so a counter of the task's rows tells their places.
+    """
+    return F.struct(
+        F.lit(batch).cast("long").alias("batch"),
+        (F.lit("") if file is None else file).alias("file"),
+        (F.lit(0) if block is None else block).cast("long").alias("block"),
+        (F.monotonically_increasing_id() if place is None else place.cast("long")).alias("place"),
+    )
+
+
+def typed_rows(rows: DataFrame, of: Dataset, symbol: str | None, exchange: str, instrument_type: str, timeframe: str | None, batch: int) -> DataFrame:
+    """Text cells under vendor names, with ``_file`` and ``_block``, as rows of the dataset; rows without a time go."""
+    kinds = {f.name: f.dataType for f in of.schema.fields}
+    taken = {of.renamed.get(c, c): c for c in rows.columns if of.renamed.get(c, c) in kinds}
+    cells = {n: _typed(taken[n], k) if n in taken else F.lit(None).cast(k) for n, k in kinds.items()}
+    cells |= {"exchange": F.lit(exchange), "instrument_type": F.lit(instrument_type)}
+    if symbol is not None:
+        cells["symbol"] = F.lit(symbol)
+    if "timeframe" in kinds:
+        cells["timeframe"] = F.lit(timeframe).cast("string")
+    seq = arrival(batch, F.col("_file"), F.col("_block"))
+    # The counter in `seq` follows the order of the file only before rows are filtered or moved.
+    typed = rows.select(*[c.alias(n) for n, c in cells.items()], seq.alias(ARRIVAL))
+    return conform(typed.where(F.col("time").isNotNull()), of)
+
+
 def land_vendor_csv(
-    spark: SparkSession, path: str, data_type: str, symbol: str, exchange: str, instrument_type: str, timeframe: str | None = None
+    spark: SparkSession, path: str, data_type: str, symbol: str | None, exchange: str, instrument_type: str, timeframe: str | None = None, batch: int = 0
 ) -> DataFrame:
-    """Rows of headerless vendor files (a folder or glob). Header rows, which some files have, are told by their time cell.
+    """Rows of vendor files (a folder or glob), with the order in which they arrived.
 
-    The time's unit is told row by row. Rows whose time cannot be read are header rows and go.
+    A file whose first line names the time column has its columns taken by name, in whatever order and number they come;
+    the columns of any other file are taken by position. Without `symbol`, the files' own column tells it. The time's unit
+    is told row by row; rows whose time cannot be read are header rows and go. `batch` tells this landing from others.
     """
     of = dataset(data_type)
     if not of.vendor:
         raise ValueError(f"{data_type} has no vendor files")
-    text = T.StructType([T.StructField(c, T.StringType()) for c in of.vendor])
-    rows = spark.read.schema(text).csv(path).withColumnsRenamed(of.renamed)
-    kinds = {f.name: f.dataType for f in of.schema.fields}
-    rows = rows.select(*[_typed(c, kinds[c]).alias(c) for c in rows.columns if c in kinds])
-    given = {"symbol": symbol, "exchange": exchange, "instrument_type": instrument_type}
-    if "timeframe" in kinds:
-        given["timeframe"] = timeframe
-    rows = rows.withColumns({k: F.lit(v).cast("string") for k, v in given.items()})
-    return conform(rows.where(F.col("time").isNotNull()), of)
+    parts = []
+    for names, files in _files_by_header(spark, path, of).items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        rows = spark.read.schema(text).csv(files).withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
+        parts.append(typed_rows(rows, of, symbol, exchange, instrument_type, timeframe, batch))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], of.schema)
 
 
 def land_candles(raw: DataFrame, answer: str = "answer") -> DataFrame:
