@@ -282,6 +282,7 @@ def test_backfill_knows_what_is_empty_and_what_is_not_offered(spark, tmp_path):
     series = "exchange string, instrument_type string, symbol string, start_ts timestamp, end_ts timestamp"
     asked = spark.createDataFrame([("a", "spot", "BTC/USD", datetime(2024, 1, 1), datetime(2024, 1, 1, 3))], series)
     coverage = jobs.backfill(candles(spark, "a", "spot", "BTC/USD", 60), root, "ohlcv", asked=asked)
+    coverage = spark.createDataFrame(coverage.collect(), coverage.schema)  # coverage is a stored table
     told = sorted((r.start_ts.hour, r.end_ts.hour, r.status) for r in coverage.collect())
     assert told == [(0, 1, "observed"), (1, 3, "known_empty")]
     more = spark.createDataFrame([("a", "spot", "BTC/USD", datetime(2024, 1, 1), datetime(2024, 1, 1, 5))], series)

@@ -57,67 +57,68 @@ def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
 OBSERVED, KNOWN_EMPTY, MISSING = "observed", "known_empty", "missing"
 
 
-def _meeting(requests: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Requests cut at midnight, and each such piece with every range that touches it.
+def coverage_gaps(
+    requests: DataFrame, coverage: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
 
-    Requests and ranges meet on (key, day), so a request is compared only with the ranges of its days.
+    Requests and coverage meet on (key, day), so a request is compared only with the ranges that touch its days. Pieces
+    that meet at midnight are put together again at the end. Coverage with a ``status`` gives one too: ``missing`` where
+    nothing is known, and ``known_empty`` for the parts that were asked for before and have no rows.
     """
+    ntz = is_ntz(requests, "start_ts")
+    labelled = ["status"] if "status" in coverage.columns else []
     asked = _by_day(
         requests.select(*keys, "start_ts", "end_ts").distinct(), "start_ts", "end_ts"
     ).select(
         *keys, F.col("_from").alias("_rs"), F.col("_upto").alias("_re"), CHUNK,
         F.col("_s").alias("_ps"), F.col("_e").alias("_pe"),
     )
-    held = _by_day(coalesce_intervals(ranges, keys), "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e")
-    return asked, join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
-
-
-def _whole(pieces: DataFrame, keys: Sequence[str], start: Column, end: Column, ntz: bool) -> DataFrame:
-    """Pieces of requests, put together where they touch: keys, request_start, request_end, gap_start, gap_end."""
-    timed = pieces.select(*keys, "_rs", "_re", from_micros(start, ntz).alias("gap_start"), from_micros(end, ntz).alias("gap_end"))
-    return coalesce_intervals(timed, [*keys, "_rs", "_re"], "gap_start", "gap_end").select(
+    ranges = label_ranges(coverage, keys) if labelled else coalesce_intervals(coverage, keys)
+    held = _by_day(ranges, "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e", *labelled)
+    hits = join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
+    # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
+    closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")} | {c: F.lit(None).cast("string") for c in labelled})
+    piece = [*keys, "_rs", "_re", CHUNK]
+    along = Window.partitionBy(*piece).orderBy("_s", "_e")
+    left = F.coalesce(F.lag("_e").over(along), F.col("_ps"))
+    pieces = hits.unionByName(closing).withColumn("_before", left)
+    parts = [F.struct(F.col("_before").alias("a"), F.col("_s").alias("b"), F.lit(MISSING).alias("status"))]
+    if labelled:
+        empty = F.struct(F.greatest("_s", "_ps").alias("a"), F.least("_e", "_pe").alias("b"), F.col("status").alias("status"))
+        parts.append(F.when(F.col("status") == KNOWN_EMPTY, empty))
+    gaps = pieces.select(*keys, "_rs", "_re", F.explode(F.array(*parts)).alias("_g")).where("_g.a < _g.b")
+    timed = gaps.select(
+        *keys, "_rs", "_re", *[F.col(f"_g.{c}") for c in labelled],
+        from_micros(F.col("_g.a"), ntz).alias("gap_start"), from_micros(F.col("_g.b"), ntz).alias("gap_end"),
+    )
+    return coalesce_intervals(timed, [*keys, "_rs", "_re", *labelled], "gap_start", "gap_end").select(
         *keys,
         from_micros(F.col("_rs"), ntz).alias("request_start"),
         from_micros(F.col("_re"), ntz).alias("request_end"),
         "gap_start",
         "gap_end",
+        *labelled,
     )
 
 
-def overlaps(requests: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The parts of each request (key, start_ts, end_ts) that the ranges hold."""
-    _, hits = _meeting(requests, ranges, keys)
-    return _whole(hits, keys, F.greatest("_s", "_ps"), F.least("_e", "_pe"), is_ntz(requests, "start_ts"))
-
-
-def coverage_gaps(
-    requests: DataFrame, coverage: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
+def label_ranges(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges with a status, none overlapping another: what was observed anywhere is observed, the rest stays known empty.
 
-    Coverage with a ``status`` gives one too: ``missing`` where nothing is known, and ``known_empty`` for the parts that
-    were asked for before and have no rows. Pieces that meet at midnight are put together again at the end.
+    A sweep over the ends of all ranges, day by day: between two ends, the ranges that are open tell the status.
     """
-    if "status" in coverage.columns:
-        empty = label_ranges(coverage, keys).where(F.col("status") == KNOWN_EMPTY)
-        missing = coverage_gaps(requests, coverage.drop("status"), keys).withColumn("status", F.lit(MISSING))
-        return missing.unionByName(overlaps(requests, empty, keys).withColumn("status", F.lit(KNOWN_EMPTY)))
-    asked, hits = _meeting(requests, coverage, keys)
-    # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
-    closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")})
-    piece = [*keys, "_rs", "_re", CHUNK]
-    along = Window.partitionBy(*piece).orderBy("_s", "_e")
-    left = F.coalesce(F.lag("_e").over(along), F.col("_ps"))
-    gaps = hits.unionByName(closing).withColumn("_gap_from", left).where(F.col("_gap_from") < F.col("_s"))
-    return _whole(gaps, keys, F.col("_gap_from"), F.col("_s"), is_ntz(requests, "start_ts"))
-
-
-def label_ranges(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ranges with a status, none overlapping another: what was observed anywhere is observed, the rest stays known empty."""
-    seen = coalesce_intervals(ranges.where(F.col("status") == OBSERVED), keys)
-    empty = coalesce_intervals(ranges.where(F.col("status") == KNOWN_EMPTY), keys)
-    left = coverage_gaps(empty, seen, keys).select(*keys, F.col("gap_start").alias("start_ts"), F.col("gap_end").alias("end_ts"))
-    return seen.withColumn("status", F.lit(OBSERVED)).unionByName(left.withColumn("status", F.lit(KNOWN_EMPTY)))
+    ntz = is_ntz(ranges, "start_ts")
+    pieces = _by_day(ranges.where(F.col("status").isin(OBSERVED, KNOWN_EMPTY)), "start_ts", "end_ts")
+    seen = (F.col("status") == OBSERVED).cast("int")
+    ends = F.explode(F.array(*[F.struct(F.col(at).alias("at"), (seen * by).alias("seen"), ((1 - seen) * by).alias("empty")) for at, by in (("_s", 1), ("_e", -1))]))
+    steps = pieces.select(*keys, CHUNK, ends.alias("_x")).groupBy(*keys, CHUNK, "_x.at").agg(F.sum("_x.seen").alias("_seen"), F.sum("_x.empty").alias("_empty"))
+    along = Window.partitionBy(*keys, CHUNK).orderBy("at")
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_ = steps.select(*keys, F.col("at").alias("_from"), F.lead("at").over(along).alias("_upto"), F.sum("_seen").over(upto).alias("_seen"), F.sum("_empty").over(upto).alias("_empty"))
+    status = F.when(F.col("_seen") > 0, OBSERVED).when(F.col("_empty") > 0, KNOWN_EMPTY)
+    told = open_.where("_upto is not null").withColumn("status", status).where("status is not null")
+    timed = told.select(*keys, "status", from_micros(F.col("_from"), ntz).alias("start_ts"), from_micros(F.col("_upto"), ntz).alias("end_ts"))
+    return coalesce_intervals(timed, [*keys, "status"])
 
 
 def clamp_to_listing(requests: DataFrame, listing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import candle_is_anomalous
@@ -332,3 +332,35 @@ def quality_summary(candle_report: DataFrame, tick_report: DataFrame) -> DataFra
         "gap_seconds",
     )
     return candles.unionByName(ticks).orderBy("exchange", "instrument_type", "data_type", "symbol")
+
+
+def _first_of_each(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int, name: str) -> DataFrame:
+    """(keys, name, more_name): the first `most` rows of each series as an array in that order, and how many are left out.
+
+    The rank limits rows before they are shuffled, so an array never holds more than `most`.
+    """
+    inside = [c for c in rows.columns if c not in keys]
+    ranked = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_place") <= most)
+    listed = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_place", *inside))).alias("_rows"))
+    whole = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+    bare = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in inside]))
+    return join_on(listed, whole, keys).select(*keys, bare.alias(name), (F.col("_all") - F.size("_rows")).alias(f"more_{name}"))
+
+
+def with_details(
+    report: DataFrame, gaps: DataFrame, days: DataFrame, keys: Sequence[str] = SERIES, schemas: DataFrame | None = None, most_gaps: int = 20, most_days: int = 31
+) -> DataFrame:
+    """A report with its details in each series' row: the longest gaps, the last days with their counts, and the columns.
+
+    `gaps` has gap_seconds and gap_start, `days` has date, `schemas` (keys of the venue, column, type, position). What an
+    array leaves out is counted; `gaps` and `days` remain as tables of their own.
+    """
+    parts = [(gaps, (F.desc("gap_seconds"), F.asc("gap_start")), most_gaps, "gaps"), (days, (F.desc("date"),), most_days, "days")]
+    for rows, order, most, name in parts:
+        report = join_on(report, _first_of_each(rows, keys, order, most, name), keys, "left")
+        report = report.withColumns({name: F.coalesce(name, F.array()), f"more_{name}": F.coalesce(f"more_{name}", F.lit(0))})
+    if schemas is not None:
+        venue = [k for k in keys if k in schemas.columns]
+        columns = schemas.groupBy(*venue).agg(F.array_sort(F.collect_set(F.struct("position", "column", "type"))).alias("columns"))
+        report = join_on(report, columns, venue, "left")
+    return report
