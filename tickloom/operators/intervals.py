@@ -74,8 +74,8 @@ def coverage_gaps(
         *keys, F.col("_from").alias("_rs"), F.col("_upto").alias("_re"), CHUNK,
         F.col("_s").alias("_ps"), F.col("_e").alias("_pe"),
     )
-    ranges = label_ranges(coverage, keys) if labelled else coalesce_intervals(coverage, keys)
-    held = _by_day(ranges, "start_ts", "end_ts").select(*keys, CHUNK, "_s", "_e", *labelled)
+    known = coverage if labelled else coverage.withColumn("status", F.lit(OBSERVED))
+    held = _labelled_pieces(known, keys).select(*keys, CHUNK, "_s", "_e", *labelled)
     hits = join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
     # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
     closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")} | {c: F.lit(None).cast("string") for c in labelled})
@@ -102,22 +102,27 @@ def coverage_gaps(
     )
 
 
-def label_ranges(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ranges with a status, none overlapping another: what was observed anywhere is observed, the rest stays known empty.
+def _labelled_pieces(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pieces (``_s``, ``_e`` in microseconds) of days with one status each, none overlapping another.
 
     A sweep over the ends of all ranges, day by day: between two ends, the ranges that are open tell the status.
     """
-    ntz = is_ntz(ranges, "start_ts")
     pieces = _by_day(ranges.where(F.col("status").isin(OBSERVED, KNOWN_EMPTY)), "start_ts", "end_ts")
     seen = (F.col("status") == OBSERVED).cast("int")
     ends = F.explode(F.array(*[F.struct(F.col(at).alias("at"), (seen * by).alias("seen"), ((1 - seen) * by).alias("empty")) for at, by in (("_s", 1), ("_e", -1))]))
     steps = pieces.select(*keys, CHUNK, ends.alias("_x")).groupBy(*keys, CHUNK, "_x.at").agg(F.sum("_x.seen").alias("_seen"), F.sum("_x.empty").alias("_empty"))
     along = Window.partitionBy(*keys, CHUNK).orderBy("at")
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    open_ = steps.select(*keys, F.col("at").alias("_from"), F.lead("at").over(along).alias("_upto"), F.sum("_seen").over(upto).alias("_seen"), F.sum("_empty").over(upto).alias("_empty"))
+    open_ = steps.select(*keys, CHUNK, F.col("at").alias("_s"), F.lead("at").over(along).alias("_e"), F.sum("_seen").over(upto).alias("_seen"), F.sum("_empty").over(upto).alias("_empty"))
     status = F.when(F.col("_seen") > 0, OBSERVED).when(F.col("_empty") > 0, KNOWN_EMPTY)
-    told = open_.where("_upto is not null").withColumn("status", status).where("status is not null")
-    timed = told.select(*keys, "status", from_micros(F.col("_from"), ntz).alias("start_ts"), from_micros(F.col("_upto"), ntz).alias("end_ts"))
+    return open_.where("_e is not null").withColumn("status", status).where("status is not null").drop("_seen", "_empty")
+
+
+def label_ranges(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges with a status, none overlapping another: what was observed anywhere is observed, the rest stays known empty."""
+    ntz = is_ntz(ranges, "start_ts")
+    told = _labelled_pieces(ranges, keys)
+    timed = told.select(*keys, "status", from_micros(F.col("_s"), ntz).alias("start_ts"), from_micros(F.col("_e"), ntz).alias("end_ts"))
     return coalesce_intervals(timed, [*keys, "status"])
 
 

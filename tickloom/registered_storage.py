@@ -287,7 +287,9 @@ def gaps_with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").where("o_orderkey % 7 = 0")
     end = F.timestamp_add("DAY", (F.col("o_orderkey") % 30 + 1).cast("int"), F.col("o_orderdate"))
     asked = orders.select((F.col("o_custkey") % 20).alias("symbol"), F.col("o_orderdate").alias("start_ts"), end.alias("end_ts"))
-    return intervals.coverage_gaps(asked, _known(spark, sf_dir), ["symbol"])
+    path = _store(spark, "coverage")
+    _known(spark, sf_dir).write.parquet(path)
+    return intervals.coverage_gaps(asked, spark.read.parquet(path), ["symbol"])
 
 
 # --- report with details --------------------------------------------------------------------------------------------------
