@@ -129,7 +129,7 @@ def _replaced(blocks: DataFrame, meanings: DataFrame, keys: list[str], translate
         parts = [np.frombuffer(p, np.int32 if small else np.int64).reshape(width, -1) for small, p in zip(meaning.column("small").to_pylist(), meaning.column("packed").to_pylist(), strict=True)]
         columns = np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((width, 0), np.int64)
         ids = _squeezed(translate(block.column("ids")[0].as_py(), *columns))
-        return pa.table({"block": block.column("block"), "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary())})
+        return pa.table({"block": block.column("block"), "ids": pa.array([_bytes_of(ids)], pa.binary())})
 
     both = blocks.select("block", "ids").groupBy("block").cogroup(_packed(meanings, keys).groupBy("of"))
     out = written(both.applyInArrow(run, "block long, ids binary"), purpose)
@@ -137,6 +137,16 @@ def _replaced(blocks: DataFrame, meanings: DataFrame, keys: list[str], translate
     return out
 
 
+def _bytes_of(ids: np.ndarray) -> bytes:
+    """Ids in four bytes each where that is enough for all of them; the first byte tells."""
+    small = not len(ids) or int(ids.max()) < 1 << 31
+    return bytes([4 if small else 8]) + ids.astype(np.int32 if small else np.int64).tobytes()
+
+
+def _ids_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.int32 if packed[0] == 4 else np.int64, offset=1).astype(np.int64)
+
+
 def _words_to_ids(tokens: bytes, place: np.ndarray, new: np.ndarray) -> np.ndarray:
     tokens = np.frombuffer(tokens, np.int32)
     table = np.full(int(tokens.max(initial=-1)) + 2, -1, np.int64)
@@ -145,7 +155,7 @@ def _words_to_ids(tokens: bytes, place: np.ndarray, new: np.ndarray) -> np.ndarr
 
 
 def _pairs_to_ids(ids: bytes, first: np.ndarray, second: np.ndarray, new: np.ndarray) -> np.ndarray:
-    ids = np.frombuffer(ids, np.int64)
+    ids = _ids_of(ids)
     if not len(new) or len(ids) < 2:
         return np.zeros(0, np.int64)
     a, b = ids[:-1], ids[1:]
@@ -187,7 +197,7 @@ def count_pairs(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
 def _neighbours(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The block's number and all its pairs of neighbouring ids, for each row."""
     for block, ids in zip(batch.column(0).to_pylist(), batch.column(column), strict=True):
-        ids = np.frombuffer(ids.as_buffer(), np.int64)
+        ids = _ids_of(ids.as_py())
         both = (ids[:-1] >= 0) & (ids[1:] >= 0)
         yield block, ids[:-1][both], ids[1:][both]
 
