@@ -36,10 +36,11 @@ def expand_prefixes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     table gives an empty one. A conversation is one text, and so must fit in a row; examples grow with the product of
     its length and its replies, as the method has it.
     """
-    body, name = escaped(F.coalesce(text, F.lit(""))), F.coalesce(role, F.lit(""))
-    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), name.alias("role"), body.alias("body"))
-    rows = rows.withColumn("segment", F.concat(F.lit(START), _role(F.col("role")), F.lit("\n"), "body", F.lit(END)))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
+    said, name = F.coalesce(text, F.lit("")), F.coalesce(role, F.lit(""))
+    # Turns move once and as they are; what the template makes of them is added where they have arrived.
+    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), name.alias("role"), said.alias("said")).repartition("conv_id")
+    rows = rows.withColumn("body", escaped(F.col("said"))).withColumn("segment", F.concat(F.lit(START), _role(F.col("role")), F.lit("\n"), "body", F.lit(END)))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "said")
     rows = rows.select(
         "conv_id", "segment", F.row_number().over(order).alias("example"), (F.col("role") == trained).alias("trained"), F.length("body").alias("body_chars"),
         F.sum(F.length("segment")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("end"),

@@ -6,13 +6,13 @@ at every place the longest known n-gram speaks, from four characters down to one
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import remainder, written
@@ -25,7 +25,7 @@ LEAST_SEEN, PRIOR = 2, 0.1
 #: Scores of a word and of a text's words are scaled so: the words of a text are not independent.
 TEMPER = 0.5
 UND = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass
@@ -76,7 +76,7 @@ class LanguageModel:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its probability between 0 and 1); `und` and 0 without a letter or without a model."""
         counts = Counter(_LETTERS.findall(text.lower())) if text else Counter()
-        if not self.languages or not any(map(str.isalpha, counts)):
+        if not self.languages or not counts:
             return UND, 0.0
         if not hasattr(self, "_at"):
             self._prepare()

@@ -102,17 +102,27 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ow
 
 
 def redact_live(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, by: str = "[REDACTED]") -> DataFrame:
-    """`docs` with each live-looking value replaced wherever its document has it; all rows and columns stay.
+    """`docs` with each live-looking value replaced where it was found; all rows and columns stay.
 
-    Documents without a candidate pass straight through, so that only the few others are joined. Null and empty texts
-    and examples that went around stay as they are.
+    The same letters elsewhere in the text are left alone. Values that overlap are replaced as one. Documents without a
+    candidate pass straight through, so that only the few others are joined. Null and empty texts and examples that went
+    around stay as they are; repeated rows are each redacted; an empty table gives an empty one.
     """
     _, judged = _judged(docs, doc_id, text, owner, repository, example_owners)
-    longest_first = F.reverse(F.sort_array(F.collect_set(F.struct(F.length("value"), "value"))))
-    values = judged.where("is_live").groupBy("doc_id", "text_key").agg(F.transform(longest_first, lambda x: x.value).alias("__secret_values"))
-    values = values.select(F.col("doc_id").alias("__secret_id"), F.col("text_key").alias("__secret_key"), "__secret_values")
+    place = F.struct((F.col("end") - F.length("value")).alias("start"), F.col("end").alias("stop"))
+    places = judged.where("is_live").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(place)).alias("__secret_places"))
+    places = places.select(F.col("doc_id").alias("__secret_id"), F.col("text_key").alias("__secret_key"), "__secret_places")
     suspect = reduce(Column.__or__, (F.coalesce(text, F.lit("")).rlike(p) for p in PATTERNS.values()))
     same = F.col(doc_id).eqNullSafe(F.col("__secret_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__secret_key"))
-    cleaned = F.aggregate(F.coalesce("__secret_values", F.array().cast("array<string>")), F.col(text), lambda t, v: F.replace(t, v, F.lit(by)))
-    redacted = docs.where(suspect).join(values, same, "left").withColumn(text, cleaned).select(*docs.columns)
+    whole = F.col(text)
+    part = lambda a, b: F.substring(whole, a + 1, b - a)
+    start = F.struct(F.lit("").alias("said"), F.lit(0).cast("long").alias("upto"))
+
+    def add(done: Column, p: Column) -> Column:
+        said = F.when(p.start < done.upto, done.said).otherwise(F.concat(done.said, part(done.upto, p.start), F.lit(by)))
+        return F.struct(said.alias("said"), F.greatest(done.upto, p.stop).cast("long").alias("upto"))
+
+    cleaned = F.aggregate("__secret_places", start, add, lambda done: F.concat(done.said, part(done.upto, F.length(whole))))
+    cleaned = F.when(F.col("__secret_places").isNull(), whole).otherwise(cleaned)
+    redacted = docs.where(suspect).join(places, same, "left").withColumn(text, cleaned).select(*docs.columns)
     return docs.where(~suspect).unionByName(redacted)
