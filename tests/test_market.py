@@ -105,8 +105,13 @@ def test_tick_bars_need_no_sort(spark):
     one = bars.tick_bars(ticks, "1m", ["exchange"])
     assert (one.first().open, one.first().close) == (5.0, 1.0)
     assert "SortAggregate" not in one._jdf.queryExecution().executedPlan().toString()
-    with pytest.raises(Exception, match="trade ids"):
-        bars.tick_bars(ticks.withColumn("trade_id", F.lit(-1).cast("long")), "1m", ["exchange"]).collect()
+    # Any 64-bit id has a place, -1 for a missing one among them, and no id comes before all.
+    ids = [None, -(2**63), -1, 0, 2**63 - 1]
+    rows = spark.createDataFrame([("a", at(0), i, float(k + 1), 1.0) for k, i in enumerate(ids)], "exchange string, time timestamp_ntz, trade_id long, price double, qty double")
+    bar = bars.tick_bars(rows.where("trade_id is not null"), "1m", ["exchange"]).first()
+    assert (bar.open, bar.close) == (2.0, 5.0)
+    bar = bars.tick_bars(rows.where("trade_id is null or trade_id in (-1, 0)"), "1m", ["exchange"]).first()
+    assert (bar.open, bar.close) == (1.0, 4.0)
 
 
 def test_building_a_flow_starts_no_job(spark):
