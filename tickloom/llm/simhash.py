@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.llm.common import raw, written
+from tickloom.llm.common import discard, raw, written
 from tickloom.llm.components import components
 
 SEED = 42
@@ -232,10 +232,13 @@ def _shared(classes: DataFrame) -> DataFrame:
     """(token, class, size, at, weight): the places of the prefixes' shingles that several classes have; weight is how
     many a class meets over all its places."""
     every = classes.select("class", "size", F.posexplode("prefix").alias("at", "token"))
-    met = every.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1")
-    met = written(met.select("token", "class", "size", "at", "n"), "met")
+    # Counts are summed up before they move, and a join can split the rows of a shingle that a third of all texts have.
+    often = every.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    met = written(every.join(often, "token").select("token", "class", "size", "at", "n"), "met")
     weights = written(met.groupBy("class").agg(F.sum("n").alias("weight")), "weights")
-    return written(met.drop("n").join(weights, "class").select("token", "class", "size", "at", "weight"), "shared")
+    shared = written(met.drop("n").join(weights, "class").select("token", "class", "size", "at", "weight"), "shared")
+    discard(met, weights)
+    return shared
 
 
 def _may_be_similar(a: str, b: str) -> Column:
@@ -259,12 +262,16 @@ def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = shared.drop("weight").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     rooted = written(rooted, "rooted")
     several = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-    rooted = written(rooted.join(several, "token"), "apart")
+    apart = written(rooted.join(several, "token"), "apart")
+    discard(rooted)
+    rooted = apart
     groups = written(rooted.select("token", "root").distinct(), "groups")
     both = groups.select("token", F.col("root").alias("x")).join(groups.select("token", F.col("root").alias("y")), "token").where("x < y")
     side = lambda r: rooted.select("token", F.col("root").alias(r), F.struct("class", "size", "at").alias(f"of_{r}"))
     pairs = both.join(side("x"), ["token", "x"]).join(side("y"), ["token", "y"]).where(_may_be_similar("of_x", "of_y"))
-    return pairs.select(F.least("of_x.class", "of_y.class").alias("a"), F.greatest("of_x.class", "of_y.class").alias("b")).distinct()
+    pairs = written(pairs.select(F.least("of_x.class", "of_y.class").alias("a"), F.greatest("of_x.class", "of_y.class").alias("b")).distinct(), "open-pairs")
+    discard(rooted, groups)
+    return pairs
 
 
 def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
@@ -301,6 +308,11 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
     classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("size", "prefix")).alias("print"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("class"), "same", "first", "print.*"), "classes")
     shared = _shared(classes)
+    # From here on prefixes are not needed: tables that hold them make room as soon as the rest of them is stored.
+    rows = written(prints.select("doc_id", "text_key", "same"), "rows")
+    slim = written(classes.select("class", "same", "first"), "slim")
+    discard(prints, classes)
+    classes = slim
 
     ends = shared.select("class").distinct()
     wanted = written(classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k")), "ends")
@@ -310,13 +322,16 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
     texts = few.join(wanted, (F.col("_t") == F.col("_k")) & F.col("_i").eqNullSafe(F.col("_d"))).select("class", "text")
     shingles = written(_shingles(texts, "text").dropDuplicates(["class"]), "shingles")
 
-    links = written(_similar(written(_to_heaviest(shared), "pairs"), shingles), "links")
-    rest = written(_across(shared, components(links)), "open-pairs")
-    roots = components(links.unionByName(written(_similar(rest, shingles), "more-links")))
+    pairs = written(_to_heaviest(shared), "pairs")
+    links = written(_similar(pairs, shingles), "links")
+    rest = _across(shared, components(links))
+    more = written(_similar(rest, shingles), "more-links")
+    discard(pairs, shared, rest, shingles)
+    roots = components(links.unionByName(more))
     grouped = written(classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "same", "first", F.coalesce("root", "class").alias("group")), "grouped")
     firsts = written(grouped.groupBy("group").agg(F.min("first").alias("stays")), "firsts")
     named = written(grouped.select("same", "group").join(firsts, "group"), "named")
-    out = prints.select("doc_id", "text_key", "same").join(named, "same")
+    out = rows.join(named, "same")
     stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_key") == F.col("stays.text_key"))
     return out.select("doc_id", "text_key", "group", stays.alias("stays"))
 
