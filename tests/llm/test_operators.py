@@ -388,12 +388,34 @@ def test_class_scores(spark, docs, texts):
 
 
 def test_uncarried_words_score_alike(spark, docs):
-    whole = classlm.fit(docs, clustered=50, classes=8, rounds=2)
-    small = classlm.fit(docs, clustered=50, classes=8, rounds=2, carried=60)
+    whole = classlm.fit(docs, head=50, classes=8)
+    small = classlm.fit(docs, head=50, classes=8, carried=60)
     a, b = ({r.doc_id: (r.n_known, round(r.score, 6)) for r in classlm.score(docs, m).collect()} for m in (whole, small))
     assert a == b
 
 
+def test_class_scores_by_brute_force(spark, docs, texts):
+    """Every word seen twice has a class of its own choice, and scores are those of a plain loop over the model's tables."""
+    m = classlm.fit(docs, head=40, classes=6, carried=30)
+    held = {r["word"]: (r["n"], r["class"]) for r in m.words.collect()}
+    rare = len(m.emitted) - 1
+    assert all((k == rare) == (n == 1) for w, (n, k) in held.items() if w)
+    table = np.zeros((rare + 1, rare + 1))
+    for t in texts.values():
+        kinds = [0, *(held[w][1] for w in words_of(t)), 0]
+        np.add.at(table, (kinds[:-1], kinds[1:]), 1)
+    share = (table.sum(0) + 1) / (table.sum() + len(table))
+    assert np.allclose(10**m.transition, (table + classlm.TRANSITION * share) / (table.sum(1, keepdims=True) + classlm.TRANSITION))
+    extra = docs.select("doc_id", F.concat("text", F.lit(" unseenone unseentwo the unseenone")).alias("text"))
+    found = {r.doc_id: r.score for r in classlm.score(extra, m).collect()}
+    for i, t in texts.items():
+        words = [*words_of(t), "unseenone", "unseentwo", "the", "unseenone", ""]
+        kinds = [0, *(held.get(w, (0, rare))[1] for w in words)]
+        total = sum(m.transition[a, b] for a, b in itertools.pairwise(kinds))
+        total += sum(math.log10(held.get(w, (0, rare))[0] + 0.1) - m.emitted[k] for w, k in zip(words, kinds[1:], strict=True))
+        assert found[i] == pytest.approx(total, rel=1e-9)
+
+
 def test_class_model_sums_to_one_and_moves_gain(spark):
     rng = np.random.default_rng(2)
     counts = rng.integers(0, 50, (6, 6)).astype(float)

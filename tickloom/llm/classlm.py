@@ -1,14 +1,14 @@
 """Brown class-based n-gram scoring.
 
-Exchange clustering assigns the most frequent words to classes so that the classes' bigrams are as likely as can be; other
-words share a few classes by checksum. A text's probability is the product of class transitions and of the words' emissions
-from their classes, both smoothed. Word counts cover the whole training corpus: a bounded number of the most frequent
-words travels with the tasks, the counts of all others are joined.
+Exchange clustering assigns words to classes so that the classes' bigrams are as likely as can be: the most frequent words
+among each other first, then every other word that occurs twice, by the classes that stand around it. Words seen once make
+the class of those never seen. A text's probability is the product of class transitions and of the words' emissions from
+their classes, both smoothed. Which class a word has, and how often it occurs, is a table that grows with the corpus; a
+bounded number of the most frequent words travels with the tasks, all others are joined.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,13 +16,17 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import fewest_parts, raw, remainder, written
+from tickloom.llm.common import discard, raw, remainder, written
 
-#: Words that are clustered, their classes, the classes of all other words, rounds of exchange, and words whose counts
-#: travel with the tasks.
-CLUSTERED, CLASSES, OTHERS, ROUNDS, CARRIED = 1000, 48, 16, 6, 200_000
+#: Words that are exchanged among each other before all others, classes, and words that travel with the tasks.
+HEAD, CLASSES, CARRIED = 20_000, 48, 200_000
+#: A round that adds less than this to the log-likelihood of a token is the last.
+LEAST_GAIN = 0.002
+#: The seed of words' keys.
+SEED = 42
 #: Additive smoothing of words, and the weight of class frequencies in a transition.
 DELTA, TRANSITION = 0.1, 20.0
 #: Distinct words that a task counts before it passes them on.
@@ -55,47 +59,108 @@ def count_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def other_class(word: bytes) -> int:
-    return zlib.crc32(word) % OTHERS
+def key_of(word: bytes) -> int:
+    """A word outside the head as a number below zero; `_key` is the same in SQL."""
+    return -1 - (xxhash.xxh64_intdigest(word, SEED) >> 1)
+
+
+def _key(word: str) -> Column:
+    return -1 - F.shiftrightunsigned(F.xxhash64(word), 1)
+
+
+def _codes(text: bytes, types: dict[bytes, int]) -> np.ndarray:
+    """A text between two ends: types of the head's words, keys of all others."""
+    words = _words(text)
+    out = np.zeros(len(words) + 2, np.int64)
+    out[1:-1] = np.fromiter((t if (t := types.get(w)) is not None else key_of(w) for w in words), np.int64, len(words))
+    return out
 
 
 def _types(head: list[bytes]) -> dict[bytes, int]:
-    """The end is type 0, clustered words follow, then the classes of all others."""
+    """The end is type 0, the head's words follow."""
     return {END: 0} | {w: i for i, w in enumerate(head, 1)}
 
 
+def _lookup(values: np.ndarray, kind: str) -> Column:
+    """The values as a literal array; one text, since an expression for each would take long to plan."""
+    return F.split(F.lit(" ".join(map(str, values.tolist()))), " ").cast(f"array<{kind}>")
+
+
 def count_bigrams(docs: DataFrame, head: list[bytes], text_column: str = "text") -> DataFrame:
-    """(a, b, n): how often type b follows type a; a text stands between two ends."""
-    types, first = _types(head), len(head) + 1
-    size = first + OTHERS
+    """(a, b, n): how often type b of the head follows type a; a text stands between two ends."""
+    types, size = _types(head), len(head) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
+        held, n = [], 0
         for batch in batches:
             for text in raw(batch.column(0)):
-                words = _words(text)
-                ids = np.zeros(len(words) + 2, np.int64)
-                ids[1:-1] = np.fromiter((t if (t := types.get(w, -1)) >= 0 else first + other_class(w) for w in words), np.int64, len(words))
-                pairs, n = np.unique(ids[:-1] * size + ids[1:], return_counts=True)
-                total[pairs] += n
-        at = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_pydict({"pair": at, "n": total[at]})
+                codes = np.fromiter(map(types.get, _words(text), repeat(-1)), np.int64)
+                codes = np.concatenate([[0], codes, [0]])
+                a, b = codes[:-1], codes[1:]
+                both = (a >= 0) & (b >= 0)
+                held.append(a[both] * size + b[both])
+                n += len(held[-1])
+                if n >= 4 * FLUSH:
+                    yield _counted(held)
+                    held, n = [], 0
+        if held:
+            yield _counted(held)
 
     part = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "pair long, n long")
     pairs = part.groupBy("pair").agg(F.sum("n").alias("n"))
     return pairs.select(F.expr(f"int(pair div {size})").alias("a"), F.expr(f"int(pair % {size})").alias("b"), "n")
 
 
-def _class_counts(bigrams: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """N(c, d), collected: as many figures as there are pairs of classes."""
-    of = F.lit([int(c) for c in classes])
-    n = int(classes.max()) + 1
-    out = np.zeros((n, n))
-    for r in bigrams.groupBy(of[F.col("a")].alias("c"), of[F.col("b")].alias("d")).agg(F.sum("n").alias("n")).collect():
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    pairs, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_pydict({"pair": pairs, "n": n})
+
+
+def count_around(docs: DataFrame, head: list[bytes], classes: np.ndarray, text_column: str = "text") -> DataFrame:
+    """(key, other, side, n) of all words outside the head: how often a neighbour follows (side 0) or precedes (side 1).
+
+    `other` is the class of a neighbour in the head, else the key of the word that follows (side 0 only).
+    """
+    types = _types(head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[tuple[int, int, int]] = Counter()
+
+        def out() -> pa.RecordBatch:
+            key, other, side = np.array(list(seen), np.int64).T
+            n = np.array(list(seen.values()), np.int64)
+            seen.clear()
+            return pa.RecordBatch.from_pydict({"key": key, "other": other, "side": side, "n": n})
+
+        for batch in batches:
+            for text in raw(batch.column(0)):
+                codes = _codes(text, types)
+                codes = np.where(codes >= 0, classes[np.maximum(codes, 0)], codes)
+                a, b = codes[:-1], codes[1:]
+                for x, y, pick, side in ((a, b, a < 0, 0), (b, a, (b < 0) & (a >= 0), 1)):
+                    seen.update(zip(x[pick].tolist(), y[pick].tolist(), repeat(side), strict=False))
+                if len(seen) >= FLUSH:
+                    yield out()
+        if seen:
+            yield out()
+
+    part = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "key long, other long, side long, n long")
+    return part.groupBy("key", "other", "side").agg(F.sum("n").alias("n"))
+
+
+def _table(sums: DataFrame, size: int) -> np.ndarray:
+    """N(c, d) from rows (c, d, n), collected: as many figures as there are pairs of classes."""
+    out = np.zeros((size, size))
+    for r in sums.groupBy("c", "d").agg(F.sum("n").alias("n")).collect():
         out[r.c, r.d] = r.n
     return out
 
 
+def _head_counts(bigrams: DataFrame, classes: np.ndarray, size: int) -> np.ndarray:
+    of = _lookup(classes, "int")
+    return _table(bigrams.select(of[F.col("a")].alias("c"), of[F.col("b")].alias("d"), "n"), size)
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-12))
 
@@ -117,101 +182,154 @@ def best_move(counts: np.ndarray, old: int, after: np.ndarray, before: np.ndarra
     after, before = after.copy(), before.copy()
     after[old] -= own
     before[old] -= own
-    rows, columns, cells = base.sum(1) + before, base.sum(0) + after, _xlogx(base)
-    gained = np.full(len(base), -np.inf)
-    for k in movable:
-        row, column = base[k] + after, base[:, k] + before
-        corner = base[k, k] + after[k] + before[k] + own
-        row[k] = column[k] = 0.0
-        new = _xlogx(row).sum() + _xlogx(column).sum() + _xlogx(corner)
-        lost = cells[k].sum() + cells[:, k].sum() - cells[k, k]
-        row_total, column_total = after.sum() + own, before.sum() + own
-        margins = _xlogx(rows[k] + row_total) - _xlogx(rows[k]) + _xlogx(columns[k] + column_total) - _xlogx(columns[k])
-        gained[k] = new - lost - margins
-    best = int(gained.argmax())
-    return best, float(gained[best] - gained[old])
-
-
-def exchange(bigrams: DataFrame, clustered: int, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """The class of every type: 0 for the end, then the clustered words' classes, then one for each of the others.
+    rows, columns, corner = base.sum(1) + before, base.sum(0) + after, base.diagonal()
+    at, of = np.nonzero(after)[0], np.nonzero(before)[0]
+    value = (_xlogx(base[:, at] + after[at]) - _xlogx(base[:, at])).sum(1) + (_xlogx(base[of] + before[of, None]) - _xlogx(base[of])).sum(0)
+    # The class's own cell takes from both sides at once.
+    value += _xlogx(corner + after + before + own) + _xlogx(corner) - _xlogx(corner + after) - _xlogx(corner + before)
+    value -= _xlogx(rows + after.sum() + own) - _xlogx(rows) + _xlogx(columns + before.sum() + own) - _xlogx(columns)
+    best = int(movable[value[movable].argmax()])
+    return best, float(value[best] - value[old])
+
+
+def _moves(near: DataFrame, table: np.ndarray, movable: np.ndarray) -> DataFrame:
+    """(word, class, gain): the best class of each row (word, class, near), `near` listing (side, class, n, own)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, now, lists = batch.columns
+            flat, ends = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
+            side, other, n, own = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            found = []
+            for i, old in enumerate(now.to_pylist()):
+                at = slice(ends[i], ends[i + 1])
+                sums = np.zeros((2, len(table)))
+                np.add.at(sums, (side[at], other[at]), n[at])
+                found.append(best_move(table, old, sums[0], sums[1], float(own[at].sum()), movable))
+            best, gain = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_pydict({"word": words, "class": pa.array(best, pa.int32()), "gain": pa.array(gain, pa.float64())})
+
+    return near.select(F.col("word").cast("long"), F.col("class").cast("int"), "near").mapInArrow(run, "word long, class int, gain double")
+
+
+def _near(word: str, other: Column, side: int, own: Column) -> list[Column]:
+    return [F.col(word).alias("word"), F.lit(side).alias("side"), other.cast("int").alias("other"), "n", own.alias("own")]
+
+
+def _listed(near: DataFrame) -> DataFrame:
+    """(word, near): a word's neighbouring classes, at most two for each class."""
+    sums = near.groupBy("word", "side", "other").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+    return sums.groupBy("word").agg(F.collect_list(F.struct("side", "other", "n", "own")).alias("near"))
+
+
+def exchange(bigrams: DataFrame, head: int, classes: int = CLASSES) -> np.ndarray:
+    """The class of every type of the head: 0 for the end, then 1 to `classes`.
 
     Spark gathers each word's neighbouring classes and tasks find each word's best class against the counts of the round;
-    half of the words move in a round, so that two that belong together don't pass each other. The best round stays.
+    half of the words move in a round, so that two that belong together don't pass each other. When neither half's round
+    adds LEAST_GAIN for a token, the best round stays.
     """
-    ends, first = 1, 1 + min(classes, max(1, clustered))
-    assigned = np.array([0, *(ends + i % (first - ends) for i in range(clustered)), *range(first, first + OTHERS)])
-    movable = np.arange(ends, first)
-    counts = _class_counts(bigrams, assigned)
-    best, best_value = assigned.copy(), likelihood(counts)
-    is_word = lambda c: F.col(c).between(1, clustered)
-    for at in range(rounds if clustered > 1 else 0):
-        of, now, table = F.lit([int(c) for c in assigned]), assigned.copy(), counts
-        sides = [bigrams.where(is_word(w)).select(F.col(w).alias("word"), F.lit(side).alias("side"), of[F.col(o)].alias("class"), "n", F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0).alias("own")) for w, o, side in (("a", "b", 0), ("b", "a", 1))]
-        near = sides[0].unionByName(sides[1]).where(F.col("word") % 2 == at % 2).groupBy("word", "side", "class").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
-        near = near.groupBy("word").agg(F.collect_list(F.struct("side", "class", "n", "own")).alias("near"))
-
-        def moves(batches: Iterator[pa.RecordBatch], now: np.ndarray = now, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = []
-                for word, around in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    sums = np.zeros((2, len(table)))
-                    for x in around:
-                        sums[x["side"], x["class"]] = x["n"]
-                    own = sum(x["own"] for x in around if x["side"] == 0)
-                    found.append((word, *best_move(table, int(now[word]), sums[0], sums[1], float(own), movable)))
-                yield pa.RecordBatch.from_pydict({"word": pa.array([x[0] for x in found], pa.int32()), "class": pa.array([x[1] for x in found], pa.int32()), "gain": pa.array([x[2] for x in found], pa.float64())})
-
-        moved = near.mapInArrow(moves, "word int, class int, gain double").where("gain > 1e-6").collect()
-        for r in moved:
+    classes = min(classes, max(1, head))
+    assigned = np.array([0, *(1 + i % classes for i in range(head))])
+    counts = _head_counts(bigrams, assigned, classes + 1)
+    best, best_value, idle, at = assigned.copy(), likelihood(counts), 0, 0
+    while idle < 2 and head > 1 and classes > 1:
+        of = _lookup(assigned, "int")
+        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
+        sides = [bigrams.where((F.col(w) > 0) & (F.col(w) % 2 == at % 2)).select(*_near(w, of[F.col(o)], side, own if side == 0 else F.lit(0))) for w, o, side in (("a", "b", 0), ("b", "a", 1))]
+        near = _listed(sides[0].unionByName(sides[1])).withColumn("class", of[F.col("word").cast("int")])
+        for r in _moves(near, counts, np.arange(1, classes + 1)).where("gain > 1e-6").collect():  # at most half of the head
             assigned[r["word"]] = r["class"]
-        counts = _class_counts(bigrams, assigned)
-        if (value := likelihood(counts)) > best_value:
+        counts = _head_counts(bigrams, assigned, classes + 1)
+        idle = 0 if (value := likelihood(counts)) - best_value > LEAST_GAIN * counts.sum() else idle + 1
+        if value > best_value:
             best, best_value = assigned.copy(), value
+        at += 1
     return best
 
 
+def place(around: DataFrame, words: DataFrame, head_counts: np.ndarray, rare: int) -> tuple[DataFrame, np.ndarray]:
+    """((key, class) of `words`, N(c, d) of all words): the classes of the words outside the head.
+
+    Every word begins in the class `rare`, where those stay that `words` lacks, and moves to its best class by the classes
+    around it, in rounds until one adds less than LEAST_GAIN for a token; the best round stays.
+    """
+    size, movable = rare + 1, np.arange(1, rare) if rare > 1 else np.array([rare])
+    fixed = around.where("other >= 0")
+    beside = written(_listed(fixed.select(*_near("key", F.col("other"), 0, F.lit(0)), F.col("side").alias("s")).drop("side").withColumnRenamed("s", "side")), "beside")
+    pairs = written(around.where("other < 0").select(F.col("key").alias("a"), F.col("other").alias("b"), "n"), "tail-pairs")
+    discard(around)
+    best, best_counts, best_value = None, head_counts, -np.inf
+    now = written(words.select("key", F.lit(rare).alias("class")), "placed")
+    while True:
+        side = lambda c: now.select(F.col("key").alias(c), F.col("class").alias(f"of_{c}"))  # noqa: E731, B023
+        joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+        joined = written(joined.select("a", "b", "n", F.coalesce("of_a", F.lit(rare)).alias("of_a"), F.coalesce("of_b", F.lit(rare)).alias("of_b")), "tail-classes")
+        lists = beside.join(now, beside.word == now.key, "left").select("word", F.coalesce("class", F.lit(rare)).alias("class"), "near")
+        entries = lists.select("class", F.inline("near"))
+        c, d = (F.when(F.col("side") == 0, x).otherwise(y) for x, y in ((F.col("class"), F.col("other")), (F.col("other"), F.col("class"))))
+        counts = head_counts + _table(entries.select(c.alias("c"), d.alias("d"), "n").unionByName(joined.select(F.col("of_a").alias("c"), F.col("of_b").alias("d"), "n")), size)
+        value = likelihood(counts)
+        rise = value - best_value
+        if rise > 0:
+            if best is not None:
+                discard(best)
+            best, best_counts, best_value = now, counts, value
+        if rise <= LEAST_GAIN * counts.sum():
+            discard(beside, pairs, joined)
+            return best, best_counts
+        own = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
+        met = joined.select(*_near("a", F.col("of_b"), 0, own)).unionByName(joined.select(*_near("b", F.col("of_a"), 1, F.lit(0))))
+        every = beside.unionByName(_listed(met)).groupBy("word").agg(F.flatten(F.collect_list("near")).alias("near"))
+        near = every.join(now, every.word == now.key).select("word", "class", "near")
+        moved = _moves(near, counts, movable)
+        now = written(moved.select(F.col("word").alias("key"), "class"), "placed")
+        discard(joined)
+
+
 @dataclass
 class ClassModel:
-    """counts: all training words; carried: the end and the most frequent ones; log10 figures by class."""
+    """words: all training words with count and class; carried_*: the end and the most frequent ones; log10 figures by
+    class, of which the last is the rare one's."""
 
-    counts: DataFrame
+    words: DataFrame
     tokens: int
     distinct: int
     carried: list[str]
-    carried_types: np.ndarray
+    carried_classes: np.ndarray
     carried_counts: np.ndarray
-    first: int
-    classes: np.ndarray
     transition: np.ndarray
     emitted: np.ndarray
 
 
-def fit(docs: DataFrame, text_column: str = "text", clustered: int = CLUSTERED, classes: int = CLASSES, rounds: int = ROUNDS, carried: int = CARRIED) -> ClassModel:
-    """Counts the words of all `docs`, clusters the most frequent and estimates the model."""
+def fit(docs: DataFrame, text_column: str = "text", head: int = HEAD, classes: int = CLASSES, carried: int = CARRIED) -> ClassModel:
+    """Counts the words of all `docs`, gives each a class and estimates the model."""
+    spark = docs.sparkSession
     counts = written(count_words(docs, text_column), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.where("word != ''").orderBy(F.desc("n"), "word").limit(carried).toArrow()
-    words, word_counts = top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.int64)
-    head = [w.encode() for w in words[:clustered]]
-    bigrams = written(count_bigrams(docs, head, text_column), "bigrams")
-    assigned = exchange(bigrams, len(head), classes, rounds)
-    n = _class_counts(bigrams, assigned) if total.n else np.zeros((assigned.max() + 1,) * 2)
-    size = len(n)
-    share = (n.sum(0) + 1) / (n.sum() + size)
+    order = [F.desc("n"), "word"]
+    first = [r.word for r in counts.where("word != '' and n > 1").orderBy(*order).limit(head).collect()]
+    names = [w.encode() for w in first]
+    bigrams = written(count_bigrams(docs, names, text_column), "bigrams")
+    assigned = exchange(bigrams, len(names), classes)
+    rare = int(assigned.max()) + 1
+    known = spark.createDataFrame([("", 0), *zip(first, assigned[1:].tolist(), strict=True)], "word string, head int")
+    words = counts.join(F.broadcast(known), "word", "left").withColumn("key", _key("word"))  # at most `head` rows
+    around = written(count_around(docs, names, assigned, text_column), "around")
+    placed, n = place(around, words.where("head is null and n > 1").select("key").distinct(), _head_counts(bigrams, assigned, rare + 1), rare)
+    discard(bigrams)
+    words = written(words.join(placed, "key", "left").select("word", "n", F.coalesce("head", "class", F.lit(rare)).alias("class")), "model")
+    discard(counts, placed)
+
+    share = (n.sum(0) + 1) / (n.sum() + len(n))
     transition = np.log10((n + TRANSITION * share) / (n.sum(1, keepdims=True) + TRANSITION))
-
-    first = len(head) + 1
-    held, kinds = np.zeros(size), np.zeros(size)
-    held[0], kinds[0] = n[:, 0].sum(), min(1, total.v)
-    np.add.at(held, assigned[1:first], word_counts[: first - 1])
-    np.add.at(kinds, assigned[1:first], 1)
-    others = counts.where((F.col("word") != "") & ~F.col("word").isin([w.decode() for w in head])) if head else counts.where("word != ''")
-    for r in others.groupBy((F.crc32("word") % OTHERS).alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        held[assigned[first + r.k]] += r.n
-        kinds[assigned[first + r.k]] += r.v
-    types = [0, *range(1, first), *(first + other_class(w.encode()) for w in words[first - 1 :])]
-    known = np.concatenate([[int(held[0])], word_counts]).astype(np.int64)
-    return ClassModel(counts, total.n, total.v, [END.decode(), *words], np.array(types), known, first, assigned, transition, np.log10(held + DELTA * (kinds + 1)))
+    held, kinds = np.zeros(len(n)), np.zeros(len(n))
+    for r in words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # a row for each class
+        held[r["class"]], kinds[r["class"]] = r.n, r.v
+    top = words.where("word != ''").orderBy(*order).limit(carried).toArrow()
+    most = [top.column(c).to_numpy().astype(np.int64) for c in ("class", "n")]
+    of, count = (np.concatenate([[x], y]) for x, y in zip((0, int(held[0])), most, strict=True))
+    return ClassModel(words, total.n, total.v, [END.decode(), *top.column("word").to_pylist()], of, count, transition, np.log10(held + DELTA * (kinds + 1)))
 
 
 def score(docs: DataFrame, model: ClassModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -221,49 +339,49 @@ def score(docs: DataFrame, model: ClassModel, id_column: str = "doc_id", text_co
     an empty one, further columns are ignored. `score` is the class model's, `base_score` that of smoothed word counts.
     """
     spark = docs.sparkSession
-    carried = spark.sparkContext.broadcast((model.carried, model.carried_types, model.carried_counts))
-    classes, transition, emitted, first = model.classes, model.transition, model.emitted, model.first
+    carried = spark.sparkContext.broadcast((model.carried, model.carried_classes, model.carried_counts))
+    transition, emitted, size = model.transition, model.emitted, len(model.emitted)
     base = float(np.log10(model.tokens + DELTA * (model.distinct + 1)))
+    kinds = {"key": pa.string(), "next": pa.string(), "before": pa.int32(), "after": pa.int32(), "row": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, type_of, count = carried.value
+        known, class_of, count = carried.value
         types = {w.encode(): i for i, w in enumerate(known)}
         log_count = np.log10(count + DELTA)
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("key", "row", "doc_id", "n", "n_tokens", "n_known", "base_score", "score")}
+            out: list[tuple] = []
             for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch.column(2)), strict=True):
                 words = _words(text)
-                at = np.empty(len(words) + 1, np.int64)
-                at[:-1] = np.fromiter(map(types.get, words, repeat(-1)), np.int64, len(words))
-                at[-1] = types[END]
-                missing = np.nonzero(at < 0)[0]
-                kind = type_of[at]
-                if len(missing):
-                    kind[missing] = [first + other_class(words[i]) for i in missing]
-                cls = classes[kind]
-                here = at[at >= 0]
+                at = np.zeros(len(words) + 2, np.int64)
+                at[1:-1] = np.fromiter(map(types.get, words, repeat(-1)), np.int64, len(words))
+                cls = np.where(at < 0, -1, class_of[at])
+                here, sure = at[1:][at[1:] >= 0], (cls[:-1] >= 0) & (cls[1:] >= 0)
                 logs = float(log_count[here].sum())
-                moves = float(transition[cls[:-1], cls[1:]].sum() + transition[0, cls[0]])
-                parts = (" " + str(row), row, doc_id, 0, len(at), int((count[here] > 0).sum()), logs - base * len(at), logs + moves - float(emitted[cls].sum()))
-                for k, v in zip(out, parts, strict=True):
-                    out[k].append(v)
-                for word, n in Counter(words[i] for i in missing).items():
-                    for k, v in zip(out, (word.decode(), row, doc_id, n, 0, 0, 0.0, 0.0), strict=True):
-                        out[k].append(v)
-            kinds = {"key": pa.string(), "row": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
+                moves = float(transition[cls[:-1][sure], cls[1:][sure]].sum() - emitted[class_of[here]].sum())
+                out.append((" " + str(row), None, -1, -1, row, doc_id, 0, len(at) - 1, int((count[here] > 0).sum()), logs - base * (len(at) - 1), logs + moves))
+                rest = np.nonzero(at < 0)[0].tolist()
+                seen = Counter((words[i - 1], words[i] if at[i + 1] < 0 else None, int(cls[i - 1]), int(cls[i + 1])) for i in rest)
+                out += [(w.decode(), x and x.decode(), b, a, row, doc_id, n, 0, 0, 0.0, 0.0) for (w, x, b, a), n in seen.items()]
+            columns = zip(*out, strict=True) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds.values(), strict=True)], list(kinds))
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    parts = rows.mapInArrow(run, "key string, row long, doc_id long, n long, n_tokens long, n_known long, base_score double, score double")
-    # A text's own figures go by a key that no word has; its other rows are words whose counts did not travel.
-    met = parts.join(model.counts.select(F.col("word").alias("key"), F.col("n").alias("c")), "key", "left")
-    c = F.coalesce("c", F.lit(0))
-    more = F.col("n") * F.log10(c + F.lit(DELTA))
-    return met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base_score") + more).alias("base_score"), F.sum(F.col("score") + more).alias("score"),
-    ).drop("row")
+    parts = rows.mapInArrow(run, "key string, next string, before int, after int, row long, doc_id long, n long, n_tokens long, n_known long, base_score double, score double")
+    moving, leaving = _lookup(transition.ravel(), "double"), _lookup(emitted, "double")
+    at = lambda a, b: F.when((a >= 0) & (b >= 0), moving[F.greatest(a, F.lit(0)) * size + F.greatest(b, F.lit(0))]).otherwise(0.0)
+    # A text's own figures go by a key that no word has; its other rows are words that did not travel.
+    met = parts.join(model.words.select(F.col("word").alias("key"), F.col("n").alias("c"), F.col("class").alias("k")), "key", "left")
+    met = met.withColumns({"c": F.coalesce("c", F.lit(0)), "k": F.coalesce("k", F.lit(size - 1))})
+    c, k, n = F.col("c"), F.col("k"), F.col("n")
+    count = F.log10(c + F.lit(DELTA))
+    met = written(met.select(
+        "row", "doc_id", "n_tokens", F.col("n_known") + F.when(c > 0, n).otherwise(0), F.col("base_score") + n * count,
+        F.col("score") + n * (count - leaving[k] + at(F.col("before"), k) + at(k, F.col("after"))), "next", "k", "n",
+    ).toDF("row", "doc_id", "n_tokens", "n_known", "base_score", "score", "next", "k", "n"), "scored")
+    # Where two such words follow each other, the second one's class is joined as well.
+    pairs = met.where("next is not null").join(model.words.select(F.col("word").alias("next"), F.col("class").alias("to")), "next", "left")
+    more = pairs.select("row", "doc_id", *(F.lit(0).cast("long").alias(x) for x in ("n_tokens", "n_known")), F.lit(0.0).alias("base_score"), (n * at(k, F.coalesce("to", F.lit(size - 1)))).alias("score"))
+    return met.drop("next", "k", "n").unionByName(more).groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score"))).drop("row")
 
 
 def held_out() -> Column:
