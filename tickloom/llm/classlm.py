@@ -25,6 +25,8 @@ from tickloom.llm.common import discard, raw, remainder, written
 HEAD, CLASSES, CARRIED = 20_000, 48, 200_000
 #: A round that adds less than this to the log-likelihood of a token is the last.
 LEAST_GAIN = 0.002
+#: Words whose moves a task weighs at a time.
+TOGETHER = 512
 #: The seed of words' keys.
 SEED = 42
 #: Additive smoothing of words, and the weight of class frequencies in a transition.
@@ -170,44 +172,53 @@ def likelihood(counts: np.ndarray) -> float:
     return float(_xlogx(counts).sum() - _xlogx(counts.sum(0)).sum() - _xlogx(counts.sum(1)).sum())
 
 
-def best_move(counts: np.ndarray, old: int, after: np.ndarray, before: np.ndarray, own: float, movable: np.ndarray) -> tuple[int, float]:
-    """(class, gain) of the best class for a word of class `old`.
+def best_moves(counts: np.ndarray, old: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray, movable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, gains) of the best class for each of several words, each moving alone out of its class in `old`.
 
-    `after` and `before` count the classes of the words that follow and precede it, `own` counts the word after itself.
+    Rows of `after` and `before` count the classes of the words that follow and precede a word, `own` counts it after itself.
     """
-    base = counts.copy()
-    base[old, :] -= after
-    base[:, old] -= before
-    base[old, old] += own
-    after, before = after.copy(), before.copy()
-    after[old] -= own
-    before[old] -= own
-    rows, columns, corner = base.sum(1) + before, base.sum(0) + after, base.diagonal()
-    at, of = np.nonzero(after)[0], np.nonzero(before)[0]
-    value = (_xlogx(base[:, at] + after[at]) - _xlogx(base[:, at])).sum(1) + (_xlogx(base[of] + before[of, None]) - _xlogx(base[of])).sum(0)
+    b, is_old = np.arange(len(old)), np.zeros(after.shape)
+    is_old[b, old] = 1
+    out, come = after - is_old * own[:, None], before - is_old * own[:, None]
+    leaving, coming = after.sum(1)[:, None], before.sum(1)[:, None]
+    rows, columns = counts.sum(1) - is_old * leaving, counts.sum(0) - is_old * coming
+    corner = counts.diagonal() - is_old * (after[b, old] + before[b, old] - own)[:, None]
     # The class's own cell takes from both sides at once.
-    value += _xlogx(corner + after + before + own) + _xlogx(corner) - _xlogx(corner + after) - _xlogx(corner + before)
-    value -= _xlogx(rows + after.sum() + own) - _xlogx(rows) + _xlogx(columns + before.sum() + own) - _xlogx(columns)
-    best = int(movable[value[movable].argmax()])
-    return best, float(value[best] - value[old])
+    value = _xlogx(corner + out + come + own[:, None]) + _xlogx(corner) - _xlogx(corner + out) - _xlogx(corner + come)
+    value -= _xlogx(rows + leaving) - _xlogx(rows) + _xlogx(columns + coming) - _xlogx(columns)
+    for moved, mine, others, cells in ((out, after, before, counts.T), (come, before, after, counts)):
+        w, d = np.nonzero(moved)
+        if not len(w):
+            continue
+        home = (d == old[w])[:, None]
+        cell = cells[d] - is_old[w] * mine[w, d][:, None] - home * (others[w] - is_old[w] * own[w][:, None])
+        gained = _xlogx(cell + moved[w, d][:, None]) - _xlogx(cell)
+        words, first = np.unique(w, return_index=True)
+        value[words] += np.add.reduceat(gained, first, axis=0)
+    best = movable[value[:, movable].argmax(1)]
+    return best, value[b, best] - value[b, old]
+
+
+def best_move(counts: np.ndarray, old: int, after: np.ndarray, before: np.ndarray, own: float, movable: np.ndarray) -> tuple[int, float]:
+    """`best_moves` for one word."""
+    best, gain = best_moves(counts, np.array([old]), after[None], before[None], np.array([own]), movable)
+    return int(best[0]), float(gain[0])
 
 
 def _moves(near: DataFrame, table: np.ndarray, movable: np.ndarray) -> DataFrame:
     """(word, class, gain): the best class of each row (word, class, near), `near` listing (side, class, n, own)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, now, lists = batch.columns
-            flat, ends = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            side, other, n, own = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-            found = []
-            for i, old in enumerate(now.to_pylist()):
-                at = slice(ends[i], ends[i + 1])
-                sums = np.zeros((2, len(table)))
-                np.add.at(sums, (side[at], other[at]), n[at])
-                found.append(best_move(table, old, sums[0], sums[1], float(own[at].sum()), movable))
-            best, gain = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_pydict({"word": words, "class": pa.array(best, pa.int32()), "gain": pa.array(gain, pa.float64())})
+        for whole in batches:
+            for begin in range(0, whole.num_rows, TOGETHER):
+                words, now, lists = whole.slice(begin, TOGETHER).columns
+                flat, row = lists.flatten(), np.repeat(np.arange(len(words)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                side, other, n, own = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                sums, same = np.zeros((2, len(words), len(table))), np.zeros(len(words))
+                np.add.at(sums, (side, row, other), n)
+                np.add.at(same, row, own)
+                best, gain = best_moves(table, now.to_numpy(zero_copy_only=False), *sums, same, movable)
+                yield pa.RecordBatch.from_pydict({"word": words, "class": pa.array(best, pa.int32()), "gain": pa.array(gain, pa.float64())})
 
     return near.select(F.col("word").cast("long"), F.col("class").cast("int"), "near").mapInArrow(run, "word long, class int, gain double")
 
