@@ -159,6 +159,16 @@ def test_copies_that_are_like_the_original_alone_all_join_it(spark, copies):
     assert len(set(groups.values())) == 1
 
 
+def test_sketches_differ_no_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 5000):
+        x = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, size, dtype=np.int64))
+        for part in (0.0, 0.05, 0.1, 0.5, 1.0):
+            other = np.unique(np.concatenate([x[int(part * len(x)) :], rng.integers(-(1 << 63), (1 << 63) - 1, int(part * size), dtype=np.int64)]))
+            apart = int(np.bitwise_count((simhash.sketch(x) ^ simhash.sketch(other)).view(np.uint64)).sum())
+            assert apart <= len(np.setxor1d(x, other))
+
+
 def test_texts_just_over_the_similarity_are_found(spark):
     rng = np.random.default_rng(8)
     word = lambda: "w" + str(rng.integers(0, 100_000))

@@ -139,6 +139,8 @@ ORDER_FROM, COMMON_SEEN, COMMON = 20_000, 3, 200_000
 #: Buckets by which documents that no pair needs are left out of a join; a broadcast of so many numbers at most.
 BUCKETS = 1 << 20
 _REMEMBERED = 200_000
+#: 64-bit words of a parity sketch.
+SKETCH = 8
 
 
 def text_key(text_column: str = "text") -> Column:
@@ -169,6 +171,17 @@ class _Shingles:
         return np.unique(key.view(np.int64))
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the shingles falls on each of SKETCH * 64 places, as 64-bit words.
+
+    A shingle that only one of two texts has changes one place, so sketches never differ in more places than the texts do
+    in shingles: what their difference rules out is unlike, at any size.
+    """
+    places = (shingles.view(np.uint64) % np.uint64(SKETCH * 64)).astype(np.int64)
+    odd = np.bincount(places, minlength=SKETCH * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _common(docs: DataFrame, text_column: str) -> tuple[np.ndarray, np.ndarray]:
     """(shingles in order, how often each was seen) of the commonest shingles in a part of the documents."""
     n = docs.count()
@@ -200,27 +213,34 @@ def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.nd
     return shingles[np.lexsort((shingles, rank))[:keep]]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """All arrays but the first, which is empty, as a column of lists."""
+    at = np.cumsum([len(x) for x in arrays])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(arrays)))
+
+
 def _prefixes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, text_key, same, size, prefix): a hash of each text's words, equal for exact copies, how many shingles it
-    has, and the first of them."""
+    """(doc_id, text_key, same, size, prefix, sketch): a hash of each text's words, equal for exact copies, how many
+    shingles it has, the first of them and the sketch of all."""
     held = docs.sparkSession.sparkContext.broadcast(_common(docs, text_column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, common = _Shingles(), held.value
         for batch in batches:
-            same, sizes, firsts = [], [], [np.empty(0, np.int64)]
+            same, sizes, firsts, sketches = [], [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for text in raw(batch.column(2)):
                 words = text.lower().split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 found = shingles(words)
                 sizes.append(len(found))
                 firsts.append(prefix(found, common))
-            at = np.cumsum([len(x) for x in firsts])
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(firsts)))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "size": pa.array(sizes, pa.int32()), "prefix": lists})
+                sketches.append(sketch(found))
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "size": pa.array(sizes, pa.int32()), "prefix": _lists(firsts), "sketch": _lists(sketches),
+            })
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("text_key"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, size int, prefix array<long>")
+    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, size int, prefix array<long>, sketch array<long>")
 
 
 def _first(*columns: str) -> Column:
@@ -274,6 +294,15 @@ def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs
 
 
+def _not_unlike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose sketches leave open that they are similar: two sets of x and y shingles that reach the similarity s
+    differ in (x + y) (1 - s) / (1 + s) of them at most."""
+    of = lambda c: sketches.select(F.col("class").alias(c), F.struct("size", "sketch").alias(f"of_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    differ = sum((F.bit_count(F.col("of_a.sketch")[i].bitwiseXOR(F.col("of_b.sketch")[i])) for i in range(SKETCH)), F.lit(0))
+    return both.where(differ <= (1 - SIMILAR) / (1 + SIMILAR) * (F.col("of_a.size") + F.col("of_b.size")) + 1e-9).select("a", "b")
+
+
 def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
     """(class, shingles): the distinct shingle hashes that the comparison takes."""
 
@@ -281,12 +310,21 @@ def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
         shingles = _Shingles()
         for batch in batches:
             found = [np.empty(0, np.int64), *(shingles(x.lower().split()) for x in raw(batch.column(1)))]
-            at = np.cumsum([len(x) for x in found])
-            yield pa.RecordBatch.from_pydict({"class": batch.column(0), "shingles": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(found)))})
+            yield pa.RecordBatch.from_pydict({"class": batch.column(0), "shingles": _lists(found)})
 
     return docs.select("class", F.col(text_column).cast("string").alias("text")).mapInArrow(run, "class long, shingles array<long>")
 
 
+def _texts_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(class, text) of the classes in the pairs; a class has a row for each repetition of its first row."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = written(classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k")), "ends")
+    bucket = lambda c: F.pmod(c, F.lit(BUCKETS))
+    few = docs.select(F.col(id_column).cast("long").alias("_i"), text_key(text_column).alias("_t"), F.col(text_column).alias("text"))
+    few = few.withColumn("_b", bucket(F.col("_t"))).join(F.broadcast(wanted.select(bucket(F.col("_k")).alias("_b")).distinct()), "_b", "left_semi")
+    return few.join(wanted, (F.col("_t") == F.col("_k")) & F.col("_i").eqNullSafe(F.col("_d"))).select("class", "text")
+
+
 def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     """The pairs whose shingle sets reach the least similarity."""
     of = lambda c: shingles.select(F.col("class").alias(c), F.col("shingles").alias(f"of_{c}"))
@@ -300,33 +338,34 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
 
     Exact copies, by their words, are folded into a class first. Two classes whose five-word shingles reach the least
     similarity share one of their first shingles, in any order that all classes follow; so nothing similar is missed.
+    Sketches rule out most pairs that have but a passage in common, before any of their shingles move.
     For each such shingle all classes are compared with one of them first; then all pairs are compared that are not in one
     group by then. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text
     all are marked alike. Texts without words are copies of each other.
     """
     prints = written(_prefixes(docs, id_column, text_column), "prefixes")
-    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("size", "prefix")).alias("print"))
+    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("size", "prefix", "sketch")).alias("print"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("class"), "same", "first", "print.*"), "classes")
     shared = _shared(classes)
     # From here on prefixes are not needed: tables that hold them make room as soon as the rest of them is stored.
     rows = written(prints.select("doc_id", "text_key", "same"), "rows")
     slim = written(classes.select("class", "same", "first"), "slim")
+    sketches = written(classes.select("class", "size", "sketch"), "sketches")
     discard(prints, classes)
     classes = slim
 
-    ends = shared.select("class").distinct()
-    wanted = written(classes.join(ends, "class").select("class", F.col("first.doc_id").alias("_d"), F.col("first.text_key").alias("_k")), "ends")
-    bucket = lambda c: F.pmod(c, F.lit(BUCKETS))
-    few = docs.select(F.col(id_column).cast("long").alias("_i"), text_key(text_column).alias("_t"), F.col(text_column).alias("text"))
-    few = few.withColumn("_b", bucket(F.col("_t"))).join(F.broadcast(wanted.select(bucket(F.col("_k")).alias("_b")).distinct()), "_b", "left_semi")
-    texts = few.join(wanted, (F.col("_t") == F.col("_k")) & F.col("_i").eqNullSafe(F.col("_d"))).select("class", "text")
-    shingles = written(_shingles(texts, "text").dropDuplicates(["class"]), "shingles")
+    def compared(pairs: DataFrame) -> DataFrame:
+        pairs = written(_not_unlike(pairs, sketches), "pairs")
+        texts = _texts_of(pairs, classes, docs, id_column, text_column)
+        shingles = written(_shingles(texts, "text").dropDuplicates(["class"]), "shingles")
+        links = written(_similar(pairs, shingles), "links")
+        discard(pairs, shingles)
+        return links
 
-    pairs = written(_to_heaviest(shared), "pairs")
-    links = written(_similar(pairs, shingles), "links")
+    links = compared(_to_heaviest(shared))
     rest = _across(shared, components(links))
-    more = written(_similar(rest, shingles), "more-links")
-    discard(pairs, shared, rest, shingles)
+    more = compared(rest)
+    discard(shared, rest, sketches)
     roots = components(links.unionByName(more))
     grouped = written(classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "same", "first", F.coalesce("root", "class").alias("group")), "grouped")
     firsts = written(grouped.groupBy("group").agg(F.min("first").alias("stays")), "firsts")
