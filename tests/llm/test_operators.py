@@ -247,6 +247,30 @@ def test_leaks_at_the_ends_of_texts_that_are_shorter_than_the_item():
         assert sum((i, i) in found for i in range(200)) >= 190
 
 
+def test_covered_places():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        first = rng.integers(-20, 200, int(rng.integers(1, 12)))
+        last = first + rng.integers(0, 30, len(first))
+        assert decontaminate._covered(first, last).tolist() == sorted({x for a, b in zip(first, last, strict=True) for x in range(a, b + 1)})
+
+
+def test_leaks_of_a_long_item():
+    rng = np.random.default_rng(3)
+    long = [b"w%d" % i for i in rng.integers(0, 5000, 600)]
+    sieve = decontaminate.build([(7, b" ".join(long)), (8, b"some item of six common words")])
+    kept = [w for w, u in zip(long, rng.random(600), strict=True) if u > 0.1]
+    other = [b"w%d" % i for i in rng.integers(0, 5000, 900)]
+    found = list(decontaminate._batches(sieve, [b" ".join(other + kept + other), b" ".join(other)]))
+    assert [(t, i) for t, i, *_ in found] == [(0, 7)] and found[0][2] == 600 - len(kept)
+
+
+def test_a_very_long_item_is_taken():
+    rng = np.random.default_rng(6)
+    sieve = decontaminate.build([(1, b" ".join(b"w%d" % i for i in rng.integers(0, 9000, 5000)))])
+    assert sieve.longest == 5000 and 1 <= sieve.reps <= 1000
+
+
 def test_edit_distances():
     items = np.array([[1, 2, 3, 4]] * 3, np.int32)
     windows = np.array([[9, 1, 2, 3, 4, 9], [1, 2, 9, 3, 4, 9], [9, 9, 9, 9, 9, 9]], np.int32)

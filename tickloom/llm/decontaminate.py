@@ -31,6 +31,8 @@ STRETCH, SAMPLED, RECALL, TRIALS = 3, 3, 0.98, 200
 RARE = (1, 3, 10, 30)
 #: Characters of the benchmark that travel with the tasks at a time, and words of text that a task looks at together.
 BLOCK_CHARS, SLICE_WORDS = 4_000_000, 1_500_000
+#: Words of windows whose edit distances a task finds at a time.
+CELLS = 1 << 20
 _WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
 #: First bytes of characters from U+0800; characters of scripts that have no blanks between words (Thai, Lao, Tibetan,
 #: Myanmar, Khmer, Tai scripts, Javanese, kana, Han); punctuation of those scripts.
@@ -50,20 +52,22 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def _bits(rep: int, steps: int, symbols: int) -> np.ndarray:
-    """The walk's random bit for every step and symbol of a repetition."""
-    return np.random.default_rng(1000 + rep).integers(0, 2, (steps, symbols), dtype=np.int8)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    return x * np.uint64(0xD6E8FEB86659FD93)
 
 
-def walk(flat: np.ndarray, start: np.ndarray, length: int, bits: np.ndarray, steps: int) -> Iterator[np.ndarray]:
+def walk(flat: np.ndarray, start: np.ndarray, length: int | np.ndarray, reps: np.ndarray, steps: int) -> Iterator[np.ndarray]:
     """The CGK embeddings of flat[start : start + length], a step at a time: symbols by repetition and start, -1 beyond
-    the end. `bits` has the random bits by repetition, step and symbol."""
-    reps = np.arange(len(bits))[:, None]
-    at = np.zeros((len(bits), len(start)), np.int64)
+    the end. The random bit of a repetition, step and symbol is a hash of the three, so that no table of them is held."""
+    at = np.zeros(np.broadcast_shapes(reps.shape, start.shape), np.int64)
     for j in range(steps):
-        symbol = np.where(at < length, flat[np.minimum(start + at, len(flat) - 1)], -1)
+        inside = at < length
+        symbol = np.where(inside, flat[np.minimum(start + at, len(flat) - 1)], -1)
         yield symbol
-        at += np.where(at < length, bits[:, j][reps, np.maximum(symbol, 0)], 0)
+        salt = _mixed(reps.astype(np.uint64) << np.uint64(32) | np.uint64(j + 1))
+        at += inside & (_mixed(symbol.astype(np.uint64) ^ salt) >> np.uint64(63)).astype(bool)
 
 
 def edit_distances(items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,11 +93,10 @@ def allowed(length: int, edits: float) -> int:
     return int(length * edits + 1e-9)
 
 
-def repetitions(items: list[np.ndarray], symbols: int, edits: float, recall: float = RECALL) -> int:
+def repetitions(items: list[np.ndarray], edits: float, recall: float = RECALL) -> int:
     """How many repetitions find a pair with all allowed edits at the target recall, by trial on the items themselves."""
-    rng, met = np.random.default_rng(7), 0.0
-    walks = np.stack([_bits(t, STRETCH * max(map(len, items)), symbols) for t in range(8)])
-    for t in range(TRIALS):
+    rng, trials, edited = np.random.default_rng(7), [], []
+    for _ in range(TRIALS):
         x = items[int(rng.integers(len(items)))]
         y = list(x)
         for _ in range(allowed(len(x), edits)):
@@ -104,9 +107,14 @@ def repetitions(items: list[np.ndarray], symbols: int, edits: float, recall: flo
                 y.pop(at)
             elif y:
                 y[at] = 0
-        y = np.array((y + [0] * len(x))[: len(x)], np.int32)
-        a, b = (np.hstack(list(walk(v, np.zeros(1, np.int64), len(x), walks[[t % 8]], STRETCH * len(x)))) for v in (x, y))
-        met += float((a == b).mean()) ** SAMPLED
+        trials.append(x)
+        edited.append(np.array((y + [0] * len(x))[: len(x)], np.int32))
+    lengths, reps = np.array([len(x) for x in trials]), np.arange(TRIALS) % 8
+    start, steps, equal = np.cumsum(lengths) - lengths, STRETCH * lengths, np.zeros(TRIALS)
+    walks = (walk(np.concatenate(v), start, lengths, reps, int(steps.max())) for v in (trials, edited))
+    for j, (a, b) in enumerate(zip(*walks, strict=True)):
+        equal += (a == b) & (j < steps)
+    met = float(((equal / steps) ** SAMPLED).sum())
     hit = min(0.999, max(0.01, met / TRIALS))
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - hit)))
 
@@ -142,8 +150,6 @@ class Sieve:
         self.places, self.keys = {}, {}
         if not self.items:
             return
-        symbols = len(self.vocabulary) + 1
-        self.walks = np.stack([_bits(r, STRETCH * int(self.lengths.max()), symbols) for r in range(self.reps)])
         for length, group in self.of_length.items():
             rng, flat = np.random.default_rng(length), np.concatenate([self.items[i] for i in group])
             self.places[length] = rng.integers(0, STRETCH * length, (self.reps, SAMPLED))
@@ -154,7 +160,7 @@ class Sieve:
     def sampled(self, flat: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
         """Keys, by repetition and start, of the sampled places of the embeddings of flat[start : start + length]."""
         places, keys = self.places[length], np.zeros((self.reps, len(start)), np.uint64)
-        for j, symbols in enumerate(walk(flat, start, length, self.walks, int(places.max()) + 1)):
+        for j, symbols in enumerate(walk(flat, start, length, np.arange(self.reps)[:, None], int(places.max()) + 1)):
             for rep, _ in zip(*np.nonzero(places == j), strict=True):
                 keys[rep] = _add(keys[rep], symbols[rep])
         return keys
@@ -194,10 +200,21 @@ def build(texts: list[tuple[int | None, bytes]], edits: float = EDITS, least_wor
     held = [rare.get(w, []) for w in range(len(vocabulary) + 1)]
     offsets = np.concatenate([[0], np.cumsum([len(h) for h in held])])
     flat = np.array([i for h in held for i in h], np.int64)
-    reps = repetitions(items, len(vocabulary) + 1, edits) if items else 0
+    reps = repetitions(items, edits) if items else 0
     return Sieve(vocabulary, list(by_words.values()), items, edits, offsets, flat, np.array(need), np.array(earliest), np.array(latest), reps, dict(short))
 
 
+def _covered(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The places from `first` to `last` of any range, each once; as many as there are, however the ranges overlap."""
+    order = np.argsort(first, kind="stable")
+    first, upto = first[order], np.maximum.accumulate(last[order])
+    new = np.ones(len(first), bool)
+    new[1:] = first[1:] > upto[:-1]
+    begins = first[new]
+    n = upto[np.append(np.nonzero(new)[0][1:] - 1, len(first) - 1)] - begins + 1
+    return np.repeat(begins - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
     """Starts of windows, by length, that may match an item; nothing that can match is left out.
 
@@ -219,9 +236,11 @@ def _windows(sieve: Sieve, flat: np.ndarray) -> dict[int, np.ndarray]:
     item, place = key // stride, key % stride
     span = sieve.lengths[item] + sieve.slack[item]
     enough = np.searchsorted(key, key + span) - np.arange(len(key)) >= sieve.need[item]
-    for i, p in zip(item[enough].tolist(), place[enough].tolist(), strict=True):
-        slack = int(sieve.slack[i])
-        starts[int(sieve.lengths[i])].append(np.arange(p - sieve.latest[i] - slack, p - sieve.earliest[i] + slack + 1))
+    item, place = item[enough], place[enough]
+    first, last = place - sieve.latest[item] - sieve.slack[item], place - sieve.earliest[item] + sieve.slack[item]
+    for length in np.unique(sieve.lengths[item]).tolist():
+        of_length = sieve.lengths[item] == length
+        starts[length].append(_covered(first[of_length], last[of_length]))
     if len(sieve.open_items):
         unknown, outside = (np.concatenate([[0], np.cumsum(x)]) for x in (flat == 0, flat < 0))
         for length in np.unique(sieve.lengths[sieve.open_items]).tolist():
@@ -265,8 +284,9 @@ def find(sieve: Sieve, texts: list[np.ndarray]) -> list[tuple[int, int | None, i
             met = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             pairs.append(np.repeat(windows, n) * len(sieve.items) + items[met])
         found = np.unique(np.concatenate(pairs))
-        for k in range(0, len(found), 4096):
-            s, i = found[k : k + 4096] // len(sieve.items), found[k : k + 4096] % len(sieve.items)
+        together = max(1, min(4096, CELLS // (length + 3 * slack)))
+        for k in range(0, len(found), together):
+            s, i = found[k : k + together] // len(sieve.items), found[k : k + together] % len(sieve.items)
             edits, ends = edit_distances(np.stack([sieve.items[j] for j in i]), flat[(s[:, None] - slack) + np.arange(length + 3 * slack)])
             for p, j, e, end in zip(s.tolist(), i.tolist(), edits.tolist(), ends.tolist(), strict=True):
                 if e <= slack:
