@@ -560,6 +560,21 @@ def test_url_ratio_is_that_of_two_markov_models(spark):
         ratio = sum(math.log(p("allow", marked[max(0, j - 2) : j], marked[j]) / p("block", marked[max(0, j - 2) : j], marked[j])) for j in range(1, len(marked)))
         assert got[i] == pytest.approx(ratio / (len(url) + 1))
 
+def test_url_models_learn_from_every_labelled_url(spark):
+    n = 50_000  # of each verdict, more than any bound that was there
+    url = F.concat(F.lit("http://"), F.when(F.col("id") % 2 == 0, "a").otherwise("b"), (F.col("id") % 7).cast("string"), F.lit("/"), F.col("id").cast("string"))
+    df = spark.range(2 * n).select(url.alias("url"), F.when(F.col("id") % 2 == 0, "allow").otherwise("block").alias("verdict"))
+    model = urls.fit(df, order=1, prior=2.0)
+    learned = {}
+    for r in df.collect():
+        if int(hashlib.md5(r.url.encode()).hexdigest()[8:16], 16) % urls.HOLD_OUT:
+            learned.setdefault(r.verdict, Counter()).update([*r.url, urls.FINISH])
+    kinds, total = len(learned["allow"] | learned["block"]) + 1, {k: sum(c.values()) for k, c in learned.items()}
+    assert model.unseen == pytest.approx(math.log((0.5 / (total["allow"] + 0.5 * kinds)) / (0.5 / (total["block"] + 0.5 * kinds))), abs=1e-12)
+    end = model.weights.where(F.col("gram") == urls.FINISH).first().weight
+    p = {k: (learned[k][urls.FINISH] + 0.5) / (total[k] + 0.5 * kinds) for k in learned}
+    assert end == pytest.approx(math.log(p["allow"] / p["block"]) - model.unseen, abs=1e-9)
+
 
 # --- 10 ---
 
