@@ -159,6 +159,30 @@ def test_copies_that_are_like_the_original_alone_all_join_it(spark, copies):
     assert len(set(groups.values())) == 1
 
 
+def test_near_duplicates_are_grouped_by_their_fingerprints(spark):
+    # A long line that is repeated decides the fingerprint, while each distinct shingle counts once in the comparison.
+    line = [f"line{i}" for i in range(12)] * 80
+    texts = [" ".join([*line, *(f"own{i}x{k}" for k in range(12))]) for i in range(4)] + ["words of a text that is like no other one here"]
+    prints = [fingerprint(t) for t in texts]
+    pairs = [(a, b) for a, b in itertools.combinations(range(5), 2) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    groups, similar = near_groups(spark, texts)
+    assert pairs and not similar
+    root = roots(5, pairs)
+    assert len(set(zip(root, (groups[i] for i in range(5)), strict=True))) == len(set(root)) == len(set(groups.values()))
+
+
+def test_long_sketches_rule_out_long_texts_that_have_a_passage_in_common(spark):
+    rng = np.random.default_rng(11)
+    of = lambda n: rng.integers(-(1 << 63), (1 << 63) - 1, n, dtype=np.int64)
+    common, own = of(1100), of(20)
+    sets = {1: np.unique(np.r_[common, of(1200)]), 2: np.unique(np.r_[common, of(1200)]), 3: np.unique(common[:1024]), 4: np.unique(np.r_[common, own])}
+    rows = [(c, len(x), simhash.sketch(x).tolist()) for c, x in sets.items()]
+    assert len(rows[2][2]) * 2 == len(rows[3][2])
+    sketches = spark.createDataFrame(rows, "class long, size int, sketch array<long>")
+    pairs = spark.createDataFrame([(1, 2), (3, 4)], "a long, b long")
+    assert [tuple(r) for r in simhash._not_unlike(pairs, sketches).collect()] == [(3, 4)]
+
+
 def test_sketches_differ_no_more_than_the_sets():
     rng = np.random.default_rng(5)
     for size in (0, 1, 40, 5000):

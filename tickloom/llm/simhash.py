@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.llm.common import discard, raw, written
+from tickloom.llm.common import discard, fewest_parts, raw, written
 from tickloom.llm.components import components
 
 SEED = 42
@@ -88,6 +88,7 @@ def with_partner(fps: DataFrame) -> DataFrame:
     Of at most three differing bits at most one lies in one of the halves, so nobody without a meeting there is within
     three bits of another. What is left is what the large ball is emitted for.
     """
+    fps = fps.repartition(max(fewest_parts(fps), fps.count() // BALLS + 1), "fp")
     balls = F.concat(*(_half_ball(F.col("fp"), at) for at in HALVES))
     met = fps.select("fp", F.explode(balls).alias("x")).select("fp", "x.key", "x.own")
     shared = met.groupBy("key").agg(F.min("fp").alias("first"), F.max("fp").alias("last"), F.max("own").alias("own"))
@@ -131,15 +132,17 @@ def simhash_components(docs: DataFrame, size: int = 3, id_column: str = "doc_id"
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies")
 
 
-#: Near-duplicate documents: words in a shingle of the comparison, and the least Jaccard similarity.
-COMPARED_WORDS, SIMILAR = 5, 0.8
+#: Near-duplicate documents: words in a shingle of the fingerprints and of the comparison, and the least Jaccard similarity.
+PRINTED_WORDS, COMPARED_WORDS, SIMILAR = 3, 5, 0.8
 #: Documents whose shingles tell which are common, in expectation, how often such a shingle occurs in them, and the most
 #: that travel with the tasks. They order the shingles, nothing else: results are the same with any order.
 ORDER_FROM, COMMON_SEEN, COMMON = 20_000, 3, 200_000
 #: Buckets by which documents that no pair needs are left out of a join; a broadcast of so many numbers at most.
 BUCKETS = 1 << 20
-_REMEMBERED = 200_000
-#: 64-bit words of a parity sketch.
+_REMEMBERED = 100_000
+#: Rows of a batch in Python, and fingerprints whose balls a task emits, about.
+ROWS, BALLS = 1_000, 20_000
+#: 64-bit words of a parity sketch at least; longer texts have as many bits as shingles, up to the next power of two.
 SKETCH = 8
 
 
@@ -172,13 +175,15 @@ class _Shingles:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Whether an odd number of the shingles falls on each of SKETCH * 64 places, as 64-bit words.
+    """Whether an odd number of the shingles falls on each of so many places, as 64-bit words.
 
     A shingle that only one of two texts has changes one place, so sketches never differ in more places than the texts do
-    in shingles: what their difference rules out is unlike, at any size.
+    in shingles: what their difference rules out is unlike, at any size. The halves of a sketch, added, are the sketch of
+    half as many places.
     """
-    places = (shingles.view(np.uint64) % np.uint64(SKETCH * 64)).astype(np.int64)
-    odd = np.bincount(places, minlength=SKETCH * 64) & 1
+    size = max(SKETCH * 64, 1 << max(0, len(shingles) - 1).bit_length())
+    places = (shingles.view(np.uint64) % np.uint64(size)).astype(np.int64)
+    odd = np.bincount(places, minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -213,6 +218,13 @@ def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.nd
     return shingles[np.lexsort((shingles, rank))[:keep]]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a thousand at a time: what is made of long texts stays small in a Python worker."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     """All arrays but the first, which is empty, as a column of lists."""
     at = np.cumsum([len(x) for x in arrays])
@@ -220,27 +232,28 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _prefixes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, text_key, same, size, prefix, sketch): a hash of each text's words, equal for exact copies, how many
-    shingles it has, the first of them and the sketch of all."""
+    """(doc_id, text_key, same, fp, size, prefix, sketch): a hash of each text's words, equal for exact copies, their
+    fingerprint, how many shingles the comparison takes, the first of them and the sketch of all."""
     held = docs.sparkSession.sparkContext.broadcast(_common(docs, text_column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, common = _Shingles(), held.value
-        for batch in batches:
-            same, sizes, firsts, sketches = [], [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for batch in _parts(batches):
+            same, fps, sizes, firsts, sketches = [], [], [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for text in raw(batch.column(2)):
                 words = text.lower().split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                fps.append(_signed(fingerprint_bits(text, PRINTED_WORDS)))
                 found = shingles(words)
                 sizes.append(len(found))
                 firsts.append(prefix(found, common))
                 sketches.append(sketch(found))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "size": pa.array(sizes, pa.int32()), "prefix": _lists(firsts), "sketch": _lists(sketches),
+                "doc_id": batch.column(0), "text_key": batch.column(1), "same": pa.array(same, pa.binary()), "fp": pa.array(fps, pa.int64()), "size": pa.array(sizes, pa.int32()), "prefix": _lists(firsts), "sketch": _lists(sketches),
             })
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("text_key"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, size int, prefix array<long>, sketch array<long>")
+    return narrow.mapInArrow(run, "doc_id long, text_key long, same binary, fp long, size int, prefix array<long>, sketch array<long>")
 
 
 def _first(*columns: str) -> Column:
@@ -299,8 +312,32 @@ def _not_unlike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     differ in (x + y) (1 - s) / (1 + s) of them at most."""
     of = lambda c: sketches.select(F.col("class").alias(c), F.struct("size", "sketch").alias(f"of_{c}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
-    differ = sum((F.bit_count(F.col("of_a.sketch")[i].bitwiseXOR(F.col("of_b.sketch")[i])) for i in range(SKETCH)), F.lit(0))
-    return both.where(differ <= (1 - SIMILAR) / (1 + SIMILAR) * (F.col("of_a.size") + F.col("of_b.size")) + 1e-9).select("a", "b")
+    n = F.least(F.size("of_a.sketch"), F.size("of_b.sketch"))
+    # Sizes of similar texts differ by a quarter at most, so one sketch is as long as the other or twice as long.
+    folded = lambda s: F.when(F.size(s) == n, s).otherwise(F.zip_with(F.slice(s, 1, n), F.slice(s, n + 1, n), lambda x, y: x.bitwiseXOR(y)))
+    apart = F.zip_with(folded(F.col("of_a.sketch")), folded(F.col("of_b.sketch")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    x, y = F.col("of_a.size"), F.col("of_b.size")
+    return both.where((F.least(x, y) >= SIMILAR * F.greatest(x, y) - 1e-9) & (differ <= (1 - SIMILAR) / (1 + SIMILAR) * (x + y) + 1e-9)).select("a", "b")
+
+
+def _printed(classes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the classes whose fingerprints are within three bits of each other."""
+    of_print = written(classes.groupBy("fp").agg(F.min("class").alias("least")), "of-print")
+    near = written(with_partner(of_print.select("fp")), "partnered")
+    least = lambda c: of_print.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}"))
+    apart = links(near).join(least("a"), "a").join(least("b"), "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    equal = classes.join(of_print, "fp").where("class != least").select(F.col("least").alias("a"), F.col("class").alias("b"))
+    found = written(apart.unionByName(equal), "printed")
+    discard(of_print, near)
+    return found
+
+
+def _of_two_groups(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one group already."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
 def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
@@ -308,7 +345,7 @@ def _shingles(docs: DataFrame, text_column: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = _Shingles()
-        for batch in batches:
+        for batch in _parts(batches):
             found = [np.empty(0, np.int64), *(shingles(x.lower().split()) for x in raw(batch.column(1)))]
             yield pa.RecordBatch.from_pydict({"class": batch.column(0), "shingles": _lists(found)})
 
@@ -336,22 +373,26 @@ def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, group, stays): one row for each row of `docs`; rows of a group are copies or near copies.
 
-    Exact copies, by their words, are folded into a class first. Two classes whose five-word shingles reach the least
-    similarity share one of their first shingles, in any order that all classes follow; so nothing similar is missed.
+    Exact copies, by their words, are folded into a class first. Classes whose SimHash fingerprints are within three bits
+    are linked, as `simhash_components` links them. Similar texts can lie further apart than that; for what the
+    fingerprints leave in different groups an exact comparison follows. Two classes whose five-word shingles reach the
+    least similarity share one of their first shingles, in any order that all classes follow; so nothing similar is missed.
     Sketches rule out most pairs that have but a passage in common, before any of their shingles move.
     For each such shingle all classes are compared with one of them first; then all pairs are compared that are not in one
     group by then. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text
     all are marked alike. Texts without words are copies of each other.
     """
     prints = written(_prefixes(docs, id_column, text_column), "prefixes")
-    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("size", "prefix", "sketch")).alias("print"))
+    classes = prints.groupBy("same").agg(_first("doc_id", "text_key").alias("first"), F.first(F.struct("fp", "size", "prefix", "sketch")).alias("print"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("class"), "same", "first", "print.*"), "classes")
-    shared = _shared(classes)
-    # From here on prefixes are not needed: tables that hold them make room as soon as the rest of them is stored.
+    # Tables that hold prefixes make room as soon as the rest of them is stored.
     rows = written(prints.select("doc_id", "text_key", "same"), "rows")
+    discard(prints)
+    shared = _shared(classes)
     slim = written(classes.select("class", "same", "first"), "slim")
     sketches = written(classes.select("class", "size", "sketch"), "sketches")
-    discard(prints, classes)
+    printed = written(classes.select("class", "fp"), "class-prints")
+    discard(classes)
     classes = slim
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -362,7 +403,8 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
         discard(pairs, shingles)
         return links
 
-    links = compared(_to_heaviest(shared))
+    by_print = _printed(printed)
+    links = by_print.unionByName(compared(_of_two_groups(_to_heaviest(shared), components(by_print))))
     rest = _across(shared, components(links))
     more = compared(rest)
     discard(shared, rest, sketches)
