@@ -1,5 +1,7 @@
 """Corners of the market-data operators on hand-made frames."""
 
+import itertools
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -169,3 +171,35 @@ def test_coverage_and_gaps_make_up_the_request(spark):
     assert {(r.start_ts, r.end_ts) for r in intervals.coalesce_intervals(cover, ["symbol"]).collect()} == {(at(0), at(20)), (at(3000), at(3100))}
     gaps = {(r.symbol, r.gap_start, r.gap_end) for r in intervals.coverage_gaps(asked, cover, ["symbol"]).collect()}
     assert gaps == {("B", at(20), at(3000)), ("C", at(0), at(9))}
+
+
+def test_gaps_of_long_requests_are_found_without_cutting_them_into_days(spark):
+    rng = random.Random(7)
+    hour = lambda h: T0 + timedelta(hours=h)
+    ranges = lambda n, far, most: [(rng.choice(["A", "B", None]), a, a + rng.randint(0, most)) for a in (rng.randrange(far) for _ in range(n))]
+    asked = [*ranges(60, 900, 400), ("Z", 5, 5000), ("A", -300000, 300000)]
+    cover = [(*x, rng.choice([intervals.OBSERVED, intervals.KNOWN_EMPTY, "other"])) for x in ranges(40, 900, 30)]
+    frame = lambda rows, tail="": spark.createDataFrame([(k, hour(a), hour(b), *s) for k, a, b, *s in rows], "symbol string, start_ts timestamp_ntz, end_ts timestamp_ntz" + tail)
+    found = lambda df: sorted((r.symbol or "", *r[1:]) for r in df.collect())
+
+    def expected(labelled):
+        out = []
+        for k, a, b in set(asked):
+            held = {h: s for want in (intervals.KNOWN_EMPTY, intervals.OBSERVED) for key, x, y, s in cover if key == k and s in (want, want if labelled else "other") for h in range(x, y)}
+            of = [held.get(h, intervals.MISSING) if labelled else "held" if h in held else intervals.MISSING for h in range(a, b)]
+            start = a
+            for status, run in itertools.groupby(of):
+                end = start + len(list(run))
+                if status in (intervals.MISSING, intervals.KNOWN_EMPTY):
+                    out.append((k or "", *(hour(h) for h in (a, b, start, end)), *([status] if labelled else [])))
+                start = end
+        return sorted(out)
+
+    requests, coverage = frame(asked), frame(cover, ", status string")
+    assert found(intervals.coverage_gaps(requests, coverage, ["symbol"])) == expected(True)
+    plain = intervals.coverage_gaps(requests, coverage.drop("status"), ["symbol"])
+    assert found(plain) == expected(False)
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window" in line and "_re#" in line]
+    sizes = spark.range(1).select(F.size(intervals._spans(F.lit(-5), F.lit(60))), F.size(intervals._spans(F.lit(-100000), F.lit(1000000)))).first()
+    assert sizes[0] <= 14 and sizes[1] <= 48

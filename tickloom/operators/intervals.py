@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros, utc_date
-from tickloom.plans.chunked import CHUNK, last_known, minute_chunks, running_max
+from tickloom.functions.timecol import day_number, from_micros, is_ntz, to_micros, utc_date, whole_div
+from tickloom.plans.chunked import CHUNK, MINUTE_US, last_known, minute_chunks, running_max
 from tickloom.plans.joins import join_on
 from tickloom.timeframe import DAY_US, parse
 
@@ -62,44 +62,86 @@ def coverage_gaps(
 ) -> DataFrame:
     """The parts of each request (key, start_ts, end_ts) that no coverage range holds.
 
-    Requests and coverage meet on (key, day), so a request is compared only with the ranges that touch its days. Pieces
-    that meet at midnight are put together again at the end. Coverage with a ``status`` gives one too: ``missing`` where
-    nothing is known, and ``known_empty`` for the parts that were asked for before and have no rows.
+    What is not held is found once for each series, whole, and then met by the requests: each part is the one that a request
+    starts in, or starts within the request, so it is found once and nothing has to be put together again. Coverage with a
+    ``status`` gives one too: ``missing`` where nothing is known, and ``known_empty`` for the parts that were asked for
+    before and have no rows.
     """
     ntz = is_ntz(requests, "start_ts")
     labelled = ["status"] if "status" in coverage.columns else []
-    asked = _by_day(
-        requests.select(*keys, "start_ts", "end_ts").distinct(), "start_ts", "end_ts"
-    ).select(
-        *keys, F.col("_from").alias("_rs"), F.col("_upto").alias("_re"), CHUNK,
-        F.col("_s").alias("_ps"), F.col("_e").alias("_pe"),
+    asked = (
+        requests.select(*keys, to_micros(requests, "start_ts").alias("_rs"), to_micros(requests, "end_ts").alias("_re"))
+        .where("_rs < _re")
+        .distinct()
     )
-    known = coverage if labelled else coverage.withColumn("status", F.lit(OBSERVED))
-    held = _labelled_pieces(known, keys).select(*keys, CHUNK, "_s", "_e", *labelled)
-    hits = join_on(asked, held, [*keys, CHUNK]).where("_s < _pe AND _e > _ps")
-    # A closing marker per piece turns "what is left after the last range" into an ordinary gap.
-    closing = asked.withColumns({"_s": F.col("_pe"), "_e": F.col("_pe")} | {c: F.lit(None).cast("string") for c in labelled})
-    piece = [*keys, "_rs", "_re", CHUNK]
-    along = Window.partitionBy(*piece).orderBy("_s", "_e")
-    left = F.coalesce(F.lag("_e").over(along), F.col("_ps"))
-    pieces = hits.unionByName(closing).withColumn("_before", left)
-    parts = [F.struct(F.col("_before").alias("a"), F.col("_s").alias("b"), F.lit(MISSING).alias("status"))]
-    if labelled:
-        empty = F.struct(F.greatest("_s", "_ps").alias("a"), F.least("_e", "_pe").alias("b"), F.col("status").alias("status"))
-        parts.append(F.when(F.col("status") == KNOWN_EMPTY, empty))
-    gaps = pieces.select(*keys, "_rs", "_re", F.explode(F.array(*parts)).alias("_g")).where("_g.a < _g.b")
-    timed = gaps.select(
-        *keys, "_rs", "_re", *[F.col(f"_g.{c}") for c in labelled],
-        from_micros(F.col("_g.a"), ntz).alias("gap_start"), from_micros(F.col("_g.b"), ntz).alias("gap_end"),
-    )
-    return coalesce_intervals(timed, [*keys, "_rs", "_re", *labelled], "gap_start", "gap_end").select(
+    holes = _not_held(asked.select(*keys).distinct(), coverage, keys)
+    spanned = lambda df, spans: df.withColumn("_span", F.explode(spans))
+    day, on = day_number, [*keys, "_span"]
+    a, b, rs, re = (F.col(c) for c in ("_hole.a", "_hole.b", "_rs", "_re"))
+    ahead = join_on(spanned(asked, _spans(day(rs), day(re - 1))), spanned(holes, _spans_around(day(a))), on)
+    ahead = ahead.where((a >= rs) & (a < re)).drop("_span")
+    starts = spanned(asked.select(*keys, "_rs").distinct(), _spans_around(day(rs)))
+    behind = join_on(starts, spanned(holes, _spans(day(a), day(b - 1))), on).where((a < rs) & (b > rs)).drop("_span")
+    return join_on(asked, behind, [*keys, "_rs"]).unionByName(ahead).select(
         *keys,
         from_micros(F.col("_rs"), ntz).alias("request_start"),
         from_micros(F.col("_re"), ntz).alias("request_end"),
-        "gap_start",
-        "gap_end",
-        *labelled,
+        from_micros(F.greatest("_hole.a", "_rs"), ntz).alias("gap_start"),
+        from_micros(F.least("_hole.b", "_re"), ntz).alias("gap_end"),
+        *[F.col(f"_hole.{c}") for c in labelled],
+    )
+
+
+#: Before and after every time there is.
+_EVER = 1 << 60
+
+
+def _not_held(series: DataFrame, coverage: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All that each series' coverage leaves open, as ``_hole`` (a, b in microseconds, status), none touching another of its status."""
+    labelled = "status" in coverage.columns
+    known = coverage.where(F.col("status").isin(OBSERVED, KNOWN_EMPTY)) if labelled else coverage
+    hole = lambda a, b, status: F.struct(F.coalesce(a, F.lit(-_EVER)).alias("a"), b.alias("b"), F.lit(status).alias("status"))
+    times = lambda df: {"_s": to_micros(df, "start_ts"), "_e": to_micros(df, "end_ts")}
+    timed = known.select(*keys, *[c.alias(n) for n, c in times(known).items()]).where("_s < _e").groupBy(*keys, "_s").agg(F.max("_e").alias("_e"))
+    reached = running_max(timed.withColumn(CHUNK, whole_div(F.col("_s"), MINUTE_US)), keys, ["_s"], "_reached", F.col("_e"))
+    opens = reached.where("_reached is null or _s > _reached")
+    ends = join_on(series, timed.groupBy(*keys).agg(F.max("_e").alias("_e")), keys, "left")
+    holes = opens.select(*keys, hole(F.col("_reached"), F.col("_s"), MISSING).alias("_hole")).unionByName(
+        ends.select(*keys, hole(F.col("_e"), F.lit(_EVER), MISSING).alias("_hole"))
     )
+    if labelled:
+        told = label_ranges(known, keys).where(F.col("status") == KNOWN_EMPTY)
+        told = told.withColumns(times(told))
+        holes = holes.unionByName(told.select(*keys, hole(F.col("_s"), F.col("_e"), KNOWN_EMPTY).alias("_hole")))
+    return holes
+
+
+#: Days in the longest span are two to this power.
+_LONGEST = 16
+
+
+def _span(bucket: Column, level: int) -> Column:
+    return bucket.cast("long") * F.lit(_LONGEST + 1) + F.lit(level)
+
+
+def _spans(first: Column, last: Column) -> Column:
+    """The days from first to last as few spans, each of 2**level days and starting at a multiple of that: some
+    two for each doubling of the length."""
+    out = []
+    for level in range(_LONGEST):
+        a = F.shiftright(first + F.lit((1 << level) - 1), level)
+        b = F.shiftright(last + F.lit(1), level)
+        out.append(F.when((a < b) & (a.bitwiseAND(F.lit(1)) == 1), _span(a, level)))
+        out.append(F.when((a < b) & (b.bitwiseAND(F.lit(1)) == 1), _span(b - 1, level)))
+    a = F.shiftright(first + F.lit((1 << _LONGEST) - 1), _LONGEST)
+    b = F.shiftright(last + F.lit(1), _LONGEST)
+    longest = F.when(a < b, F.transform(F.sequence(a, b - 1), lambda x: _span(x, _LONGEST)))
+    return F.array_compact(F.concat(F.array(*out), F.coalesce(longest, F.array().cast("array<bigint>"))))
+
+
+def _spans_around(day: Column) -> Column:
+    """The spans of every length that hold the day."""
+    return F.array(*[_span(F.shiftright(day, level), level) for level in range(_LONGEST + 1)])
 
 
 def _labelled_pieces(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
