@@ -289,6 +289,12 @@ def _to_heaviest(shared: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
+def _to_drawn(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class with one that is drawn for each of its shingles, so with as many different ones as it has
+    shingles there. In a large group of near copies many pairs are similar, so that most of it is one group after these."""
+    return _to_heaviest(shared.withColumn("weight", F.xxhash64("token", "class")))
+
+
 def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """All pairs (a, b) of different groups that share a shingle and may be similar. Pairs within a group are not even
     listed: a shingle's groups are paired first, then their classes."""
@@ -378,8 +384,8 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
     fingerprints leave in different groups an exact comparison follows. Two classes whose five-word shingles reach the
     least similarity share one of their first shingles, in any order that all classes follow; so nothing similar is missed.
     Sketches rule out most pairs that have but a passage in common, before any of their shingles move.
-    For each such shingle all classes are compared with one of them first; then all pairs are compared that are not in one
-    group by then. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text
+    For each such shingle all classes are compared with one of them first, then with another one that is drawn; then all
+    pairs are compared that are not in one group by then. The document with the least id stays, a null id comes last, and of rows that repeat an id and a text
     all are marked alike. Texts without words are copies of each other.
     """
     prints = written(_prefixes(docs, id_column, text_column), "prefixes")
@@ -405,6 +411,9 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
 
     by_print = _printed(printed)
     links = by_print.unionByName(compared(_of_two_groups(_to_heaviest(shared), components(by_print))))
+    links = written(links, "linked")
+    drawn = compared(_of_two_groups(_to_drawn(shared), components(links)))
+    links = links.unionByName(drawn)
     rest = _across(shared, components(links))
     more = compared(rest)
     discard(shared, rest, sketches)
