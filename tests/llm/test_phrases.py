@@ -1,5 +1,7 @@
 """Collocations against brute force, and odd rows."""
 
+import glob
+import os
 import random
 import re
 from collections import Counter
@@ -7,7 +9,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from tickloom.llm import phrases, queries
+from tickloom.llm import common, phrases, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,3 +83,15 @@ def test_odd_rows(spark):
     assert rows_of(phrases.collocations(df)) == brute(rows, 30, 4, 2000)
     assert phrases.collocations(df.limit(0)).count() == 0
     assert phrases.collocations(df.where("lang = 'en'")).count() == 0
+
+
+def test_shuffle_files_of_stored_tables_go_at_once(spark):
+    top = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", "/tmp")
+    there = lambda: {f for deep in ("", "*/") for f in glob.glob(f"{top}/{deep}blockmgr-*/*/shuffle_*")}
+    spark.range(1000).repartition(7, "id").write.format("noop").mode("overwrite").save()
+    before = there()
+    assert before
+    even = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    stored = common.written(even.join(spark.range(2000).toDF("k").hint("merge"), "k"), "even")
+    assert not there() - before
+    assert stored.count() == 1000 and spark.conf.get(common.CLEANUP, None) is None

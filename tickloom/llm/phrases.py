@@ -131,9 +131,11 @@ def _replaced(blocks: DataFrame, meanings: DataFrame, keys: list[str], translate
         ids = _squeezed(translate(block.column("ids")[0].as_py(), *columns))
         return pa.table({"block": block.column("block"), "ids": pa.array([_bytes_of(ids)], pa.binary())})
 
-    both = blocks.select("block", "ids").groupBy("block").cogroup(_packed(meanings, keys).groupBy("of"))
+    # Stored before blocks move: what was shuffled to find the meanings, most of all that moves, is gone by then.
+    packed = written(_packed(meanings, keys), "meanings")
+    both = blocks.select("block", "ids").groupBy("block").cogroup(packed.groupBy("of"))
     out = written(both.applyInArrow(run, "block long, ids binary"), purpose)
-    discard(blocks)
+    discard(blocks, packed)
     return out
 
 
