@@ -171,6 +171,24 @@ def test_near_duplicates_are_grouped_by_their_fingerprints(spark):
     assert len(set(zip(root, (groups[i] for i in range(5)), strict=True))) == len(set(root)) == len(set(groups.values()))
 
 
+def test_pairs_across_groups_are_those_that_sizes_places_and_sketches_leave(spark):
+    rng = np.random.default_rng(5)
+    passage = rng.integers(-(1 << 62), 1 << 62, 60)
+    sets = [np.unique(np.r_[passage, rng.integers(-(1 << 62), 1 << 62, own)]) for own in (12, 12, 15, 15, 20, 25, 40, 900)]
+    sets += [np.r_[x[1:], -i] for i, x in enumerate(sets, 1)]
+    # Every class has the passage among its first shingles, one class in two is in a group with its near copy.
+    roots = {c: c for c in range(len(sets))} | {c + 8: c for c in range(0, 8, 2)}
+    shared = [(int(t), c, len(x), at, 1) for c, x in enumerate(sets) for at, t in enumerate(x.tolist()) if t in set(passage[:9].tolist())]
+    shared = spark.createDataFrame(shared, "token long, class long, size int, at int, weight long")
+    sketches = spark.createDataFrame([(c, len(x), simhash.sketch(x).tolist()) for c, x in enumerate(sets)], "class long, size int, sketch array<long>")
+    pairs = simhash._across(shared, spark.createDataFrame(list(roots.items()), "node long, root long"), sketches)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    inter = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    alike = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if inter(a, b) >= 0.8 * (len(sets[a]) + len(sets[b]) - inter(a, b))}
+    assert {(a, b) for a, b in alike if roots[a] != roots[b]} == {(1, 9), (3, 11), (5, 13), (7, 15)} <= found
+    assert len(found) <= 8  # not each of the 116 pairs that share the passage
+
+
 def test_long_sketches_rule_out_long_texts_that_have_a_passage_in_common(spark):
     rng = np.random.default_rng(11)
     of = lambda n: rng.integers(-(1 << 63), (1 << 63) - 1, n, dtype=np.int64)

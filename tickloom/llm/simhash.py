@@ -281,6 +281,34 @@ def _may_be_similar(a: str, b: str) -> Column:
     return (F.least(x, y) >= SIMILAR * F.greatest(x, y) - 1e-9) & (most >= SIMILAR / (1 + SIMILAR) * (x + y) - 1e-9)
 
 
+#: A sketch of 64 * SKETCH places, as columns.
+SHORT = [f"bits_{i}" for i in range(SKETCH)]
+
+
+def _short(sketch: str) -> list[Column]:
+    """The sketch folded to SKETCH words, which again differ in no more places than the texts in shingles."""
+    word = lambda i: F.aggregate(F.filter(sketch, lambda _, at: at % SKETCH == i), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+    return [word(i).alias(name) for i, name in enumerate(SHORT)]
+
+
+def _short_not_unlike(a: str, b: str) -> Column:
+    """False for classes whose short sketches show them to be unlike."""
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SHORT), F.lit(0))
+    return differ <= (1 - SIMILAR) / (1 + SIMILAR) * (F.col(f"{a}.size") + F.col(f"{b}.size")) + 1e-9
+
+
+def _groups_may_be_similar(a: str, b: str) -> Column:
+    """False where sizes, places or sketches rule out every pair of one group's classes with the other's.
+
+    `size` is the least of a group, `largest`, `at` and `after` (what is left of a class from the shingle on) the greatest;
+    the sketch counts where both have one class (`n`).
+    """
+    x, y, largest_x, largest_y, i, j, p, q = (F.col(f"{side}.{c}") for c in ("size", "largest", "at", "after") for side in (a, b))
+    sizes = (largest_x >= SIMILAR * y - 1e-9) & (largest_y >= SIMILAR * x - 1e-9)
+    places = F.least(i, j) + F.least(p, q) >= SIMILAR / (1 + SIMILAR) * (x + y) - 1e-9
+    return sizes & places & ((F.col(f"{a}.n") > 1) | (F.col(f"{b}.n") > 1) | _short_not_unlike(a, b))
+
+
 def _to_heaviest(shared: DataFrame) -> DataFrame:
     """Pairs (a, b) of each class with the one of a shingle's classes that meets most: what copies were made from has all
     of its shingles in common with some of them, while copies have shingles of their own."""
@@ -289,19 +317,23 @@ def _to_heaviest(shared: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
-def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+def _across(shared: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
     """All pairs (a, b) of different groups that share a shingle and may be similar. Pairs within a group are not even
-    listed: a shingle's groups are paired first, then their classes."""
+    listed: a shingle's groups are paired first, if the bounds of their sizes and places allow it, then their classes. Short
+    sketches go with them, so that pairs which these rule out are not listed either, once for each shingle they share."""
     rooted = shared.drop("weight").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     rooted = written(rooted, "rooted")
     several = rooted.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-    apart = written(rooted.join(several, "token"), "apart")
-    discard(rooted)
+    short = written(sketches.select("class", *_short("sketch")), "short")
+    apart = written(rooted.join(several, "token").join(short, "class"), "apart")
+    discard(rooted, short)
     rooted = apart
-    groups = written(rooted.select("token", "root").distinct(), "groups")
-    both = groups.select("token", F.col("root").alias("x")).join(groups.select("token", F.col("root").alias("y")), "token").where("x < y")
-    side = lambda r: rooted.select("token", F.col("root").alias(r), F.struct("class", "size", "at").alias(f"of_{r}"))
-    pairs = both.join(side("x"), ["token", "x"]).join(side("y"), ["token", "y"]).where(_may_be_similar("of_x", "of_y"))
+    bounds = [F.min("size").alias("size"), F.max("size").alias("largest"), F.max("at").alias("at"), F.max(F.col("size") - F.col("at")).alias("after"), F.count("*").alias("n"), *(F.min(c).alias(c) for c in SHORT)]
+    groups = written(rooted.groupBy("token", "root").agg(*bounds), "groups")
+    group = lambda r: groups.select("token", F.col("root").alias(r), F.struct("size", "largest", "at", "after", "n", *SHORT).alias(f"all_{r}"))
+    both = group("x").join(group("y"), "token").where((F.col("x") < F.col("y")) & _groups_may_be_similar("all_x", "all_y")).select("token", "x", "y")
+    side = lambda r: rooted.select("token", F.col("root").alias(r), F.struct("class", "size", "at", *SHORT).alias(f"of_{r}"))
+    pairs = both.join(side("x"), ["token", "x"]).join(side("y"), ["token", "y"]).where(_may_be_similar("of_x", "of_y") & _short_not_unlike("of_x", "of_y"))
     pairs = written(pairs.select(F.least("of_x.class", "of_y.class").alias("a"), F.greatest("of_x.class", "of_y.class").alias("b")).distinct(), "open-pairs")
     discard(rooted, groups)
     return pairs
@@ -405,7 +437,7 @@ def near_duplicate_groups(docs: DataFrame, id_column: str = "doc_id", text_colum
 
     by_print = _printed(printed)
     links = by_print.unionByName(compared(_of_two_groups(_to_heaviest(shared), components(by_print))))
-    rest = _across(shared, components(links))
+    rest = _across(shared, components(links), sketches)
     more = compared(rest)
     discard(shared, rest, sketches)
     roots = components(links.unionByName(more))
