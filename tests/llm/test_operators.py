@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import pickle
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -353,6 +355,20 @@ def test_language_backs_off_to_shorter_grams():
     assert m.predict(many)[0] in "ab" and m.predict("foo")[0] == "a"
 
 
+def test_a_language_model_is_small_in_a_task():
+    words = [f"word{i}" for i in range(200_000)]
+    m = langid.LanguageModel(["a", "b"], np.log([0.5, 0.5]), words, np.tile([-1.0, -2.0], (len(words), 1)), ["w"], np.array([[-3.0, -4.0]]))
+    held = pickle.dumps(m)
+    del m
+    tracemalloc.start()
+    m = pickle.loads(held)
+    assert m.of_word("word77").tolist() == [-1.0, -2.0] and m.of_word("w").tolist() == [-1.5, -2.0]
+    taken = tracemalloc.get_traced_memory()[0] + (0 if isinstance(m.words, list) else m.words.words.nbytes)  # Arrow's own memory is not traced
+    tracemalloc.stop()
+    assert taken < 80 * len(words)
+    assert m.words.find(["word0", "none", "word199999", ""]) == [0, -1, 199_999, -1] and langid.Words([]).find(["x"]) == [-1]
+
+
 # --- 4 ---
 
 

@@ -13,12 +13,13 @@ from dataclasses import dataclass, fields
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import remainder, written
 
 #: Labelled documents of each language to learn from at most (in expectation, spread evenly over all by a hash of their
-#: id), the longest n-gram, and the words whose scores a task remembers besides those of the model.
+#: id), the longest n-gram, and the words whose rows a task remembers.
 LEARN_FROM, LONGEST, REMEMBERED = 20_000, 4, 100_000
 #: A word scores with at least this many occurrences; fewer leave it to its n-grams.
 LEAST_SEEN, PRIOR = 2, 0.1
@@ -28,25 +29,65 @@ UND = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 
 
+class Words:
+    """Different words, found by hash and then compared: some 30 bytes for each, where a dictionary takes five times as many."""
+
+    def __init__(self, words: list[str] | pa.Array):
+        self.words = pa.array(words, pa.large_string()) if isinstance(words, list) else words.cast(pa.large_string())
+        hashes = np.fromiter((self._hash(w) for w in self), np.uint64, len(self.words))
+        self.rows = np.argsort(hashes).astype(np.int32)
+        self.hashes = hashes[self.rows]
+
+    @staticmethod
+    def _hash(word: str) -> int:
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+    def __iter__(self) -> Iterator[str]:
+        return (w.as_py() for w in self.words)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def find(self, words: list[str]) -> list[int]:
+        """The place of each word, -1 where it is not held."""
+        out = [-1] * len(words)
+        if not len(self):
+            return out
+        wanted = np.fromiter(map(self._hash, words), np.uint64, len(words))
+        low = np.searchsorted(self.hashes, wanted)
+        for i in np.flatnonzero(self.hashes[np.minimum(low, len(self) - 1)] == wanted).tolist():
+            at = int(low[i])
+            while out[i] < 0 and at < len(self) and self.hashes[at] == wanted[i]:
+                if self.words[int(self.rows[at])].as_py() == words[i]:
+                    out[i] = int(self.rows[at])
+                at += 1
+        return out
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies of words and n-grams: a row each, a column for every language."""
 
     languages: list[str]
     prior: np.ndarray
-    words: list[str]
+    words: Words | list[str]
     word_logs: np.ndarray
     grams: list[str]
     gram_logs: np.ndarray
 
+    def __post_init__(self) -> None:
+        if not isinstance(self.words, Words):
+            self.words = Words(self.words)
+
     def __getstate__(self) -> dict:
         return {f.name: self.__dict__[f.name] for f in fields(self)}
 
     def _prepare(self) -> None:
         """Rows of known words, followed by room for words that n-grams spoke for."""
-        self._at = {w: i for i, w in enumerate(self.words)}
+        self._at: dict[str, int] = {}
         self._gram_at = {g: i for i, g in enumerate(self.grams)}
         self._table = np.concatenate([self.word_logs, np.zeros((REMEMBERED, len(self.languages)))])
+        self.word_logs = self._table[: len(self.words)]
 
     def of_grams(self, word: str) -> np.ndarray:
         """The mean over the word's places of the longest known n-gram that ends there."""
@@ -59,19 +100,22 @@ class LanguageModel:
                     break
         return self.gram_logs[found].sum(0) / (len(marked) - 1)
 
-    def _row(self, word: str) -> int:
-        at = self._at.get(word)
-        if at is None:
-            at = len(self._at)
-            self._table[at] = self.of_grams(word)
+    def _rows(self, words: list[str]) -> list[int]:
+        """Rows of different words, which are no more than there is room for."""
+        if len(self._at) + len(words) > REMEMBERED:
+            self._at = {}
+        new = [w for w in words if w not in self._at]
+        for word, at in zip(new, self.words.find(new), strict=True):
+            if at < 0:
+                at = len(self.words) + len(self._at)
+                self._table[at] = self.of_grams(word)
             self._at[word] = at
-        return at
+        return [self._at[w] for w in words]
 
     def of_word(self, word: str) -> np.ndarray:
         if not hasattr(self, "_at"):
             self._prepare()
-        self._make_room(1)
-        return self._table[self._row(word)]
+        return self._table[self._rows([word])[0]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its probability between 0 and 1); `und` and 0 without a letter or without a model."""
@@ -84,16 +128,10 @@ class LanguageModel:
         n = np.fromiter(counts.values(), float, len(counts))
         for at in range(0, len(words), REMEMBERED // 2):
             part = slice(at, at + REMEMBERED // 2)
-            self._make_room(len(words[part]))
-            scores += TEMPER * (n[part] @ self._table[[self._row(w) for w in words[part]]])
+            scores += TEMPER * (n[part] @ self._table[self._rows(words[part])])
         best = int(scores.argmax())
         return self.languages[best], float(1.0 / np.exp(np.maximum(scores - scores[best], -700.0)).sum())
 
-    def _make_room(self, n: int) -> None:
-        """Forgets the words that n-grams spoke for if `n` more might not fit."""
-        if len(self._at) + n > len(self._table):
-            self._at = {w: i for i, w in enumerate(self.words)}
-
 
 def words_of(text: Column) -> Column:
     """Runs of letters in lower case."""
@@ -120,12 +158,12 @@ def fit(labelled: DataFrame, learn_from: int = LEARN_FROM) -> LanguageModel:
     ).otherwise(F.array().cast("array<string>"))))
     gram_counts = counts.select("lang", "n", F.explode(pieces).alias("word")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
-    def known_of(frame: DataFrame) -> tuple[list[str], np.ndarray]:
+    def known_of(frame: DataFrame) -> tuple[pa.Array, np.ndarray]:
         """The keys that are seen often enough and their counts by language."""
         by = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
         keys = frame.groupBy("word").agg(F.sum("n").alias("n"), *by).where(F.col("n") >= LEAST_SEEN)
         top = keys.toArrow()
-        return top.column("word").to_pylist(), np.stack([top.column(f"n{i}").to_numpy() for i in range(len(languages))], axis=1).astype(float)
+        return top.column("word").combine_chunks(), np.stack([top.column(f"n{i}").to_numpy() for i in range(len(languages))], axis=1).astype(float)
 
     def logs(seen: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Smoothed log frequencies within each group of keys."""
@@ -139,7 +177,8 @@ def fit(labelled: DataFrame, learn_from: int = LEARN_FROM) -> LanguageModel:
     pieces_known, pieces_seen = known_of(gram_counts)
     words = np.array([totals[x] / share[x] for x in languages])  # of all documents, also those not learned from
     prior = np.log(words / words.sum())
-    return LanguageModel(languages, prior, known, logs(seen, np.zeros(len(known))), pieces_known, logs(pieces_seen, np.array([len(g) for g in pieces_known])))
+    grams = pieces_known.to_pylist()
+    return LanguageModel(languages, prior, Words(known), logs(seen, np.zeros(len(known))), grams, logs(pieces_seen, np.array([len(g) for g in grams])))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -153,7 +192,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = held.value.predict
         for batch in batches:
-            found = [predict(x) for x in batch.column(1).to_pylist()]
+            found = [predict(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array([x[0] for x in found], pa.string()), "score": pa.array([x[1] for x in found], pa.float64())})
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
@@ -178,7 +217,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def told(texts: pa.Array) -> pa.Array:
-        found = [held.value.predict(x) for x in texts.to_pylist()]
+        found = (held.value.predict(x.as_py()) for x in texts)
         return pa.array([lang != UND and score >= least_score for lang, score in found], pa.bool_())
 
     return docs.where(told("text"))
