@@ -431,6 +431,48 @@ def test_top_k_is_exact(spark):
     assert sorted(got) == sorted(want)
 
 
+def sent_to_driver(spark):
+    """Bytes of results that the tasks of each stage so far sent to the driver."""
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return {stages.apply(i).stageId(): stages.apply(i).resultSize() for i in range(stages.size())}
+
+
+def test_top_k_grows_on_executors_only(spark):
+    rng = np.random.default_rng(2)
+    x = np.float32(rng.normal(size=(9000, 32)))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(48, "vec_id")
+    before = sent_to_driver(spark)
+    files = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    for k in files:
+        spark.conf.set(k, "64k")
+    try:
+        found = topk.top_k(df)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        sent = {stage: n for stage, n in sent_to_driver(spark).items() if stage not in before}
+    finally:
+        for k, v in files.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan  # both sides are copied after Spark has guessed their size
+    assert sent and max(sent.values()) < 1_000_000
+
+
+@pytest.mark.parametrize("scale", [1, 1e3, 1e6, 1e8])
+def test_top_k_of_any_width_over_several_rows_of_cells(spark, monkeypatch, scale):
+    monkeypatch.setattr(topk, "CANDIDATES", 32)
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    monkeypatch.setattr(topk, "FITTED", 50)
+    monkeypatch.setattr(topk, "REMEMBERED", 1)
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 5)) * scale)
+    x[40:90] = x[40]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, k=7, every=1, scale=1).collect()]
+    ints = x.astype(np.int64)
+    scores = ints @ ints.T
+    want = [(q, n, i, -s) for q in range(300) for n, (s, i) in enumerate(sorted((-int(scores[q, i]), i) for i in range(300) if i != q)[:7], 1)]
+    assert sorted(got) == want
+
+
 # --- 6 ---
 
 
